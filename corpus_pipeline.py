@@ -7,20 +7,59 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklake.llm import exact_dedup, packing
+from tracklake.llm import exact_dedup, language_id, ngram_join, packing, substring_dedup
 from tracklake.llm.common import shared_dir
 
 
+#: A document whose language is less certain than this is rejected; with clean text it is near 1.
+LEAST_CERTAIN = 0.5
+
+
+def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of docs whose doc_id is in kept; a null id is a value here. Rows are told by doc_id."""
+    kept = kept.select(F.col("doc_id").alias("kept_id"))
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language stay: not `und`, and not less certain than LEAST_CERTAIN."""
+    found = language_id.identify(docs)
+    return _only(docs, found.where((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_CERTAIN)))
+
+
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = exact_dedup.duplicates(docs).where("kept").select("doc_id")
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").dropDuplicates(["doc_id"])
+    """Of equal texts the row with the largest doc_id stays; rows that repeat a doc_id become one."""
+    return _only(docs, exact_dedup.duplicates(docs).where("kept")).dropDuplicates(["doc_id"])
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document that names its group (the smallest doc_id) stays."""
+    return _only(docs, ngram_join.near_groups(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts lose the passages that earlier documents hold; a text that loses nothing stays as it is.
+
+    A document of which nothing is left stays, with an empty text; n_chars is counted anew.
+    """
+    cut = substring_dedup.remove_repeats(docs).where("n_removed > 0").select(F.col("doc_id").alias("cut_id"), "kept_text")
+    joined = docs.join(cut, docs["doc_id"] == cut["cut_id"], "left")
+    text = F.coalesce("kept_text", "text")
+    replaced = {"text": text, "n_chars": F.when(F.col("kept_text").isNotNull(), F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))}
+    return joined.select(*[replaced[c].alias(c) if c in replaced else docs[c] for c in docs.columns])
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
-STAGES = [("exact_dedup", exact_dedup_stage), ("packing", packing_stage)]
+STAGES = [
+    ("language_id", language_stage),
+    ("exact_dedup", exact_dedup_stage),
+    ("ngram_join", near_dedup_stage),
+    ("substring_dedup", substring_stage),
+    ("packing", packing_stage),
+]
 #: Packing needs the tokenizer, and language ID a trained model: no SQL for the whole.
 ORACLE_SQL = None
 

@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 
 #: Texts of these characters alone are split alike by every regex engine, whatever its Unicode version.
-PLAIN = re.compile("[\x00-\x7f\x80-ɏ‐-‧‰-⁞€]*")
+PLAIN = re.compile("[\x00-\x1b\x20-ɏ‐-‧‰-⁞€]*")
 
 
 @functools.cache
