@@ -44,8 +44,10 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     cut = substring_dedup.remove_repeats(docs).where("n_removed > 0").select(F.col("doc_id").alias("cut_id"), "kept_text")
     joined = docs.join(cut, docs["doc_id"] == cut["cut_id"], "left")
-    text = F.coalesce("kept_text", "text")
-    replaced = {"text": text, "n_chars": F.when(F.col("kept_text").isNotNull(), F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))}
+    new = cut["kept_text"]
+    replaced = {"text": F.coalesce(new, docs["text"])}
+    if "n_chars" in docs.columns:
+        replaced["n_chars"] = F.when(new.isNotNull(), F.length(new).cast("long")).otherwise(docs["n_chars"])
     return joined.select(*[replaced[c].alias(c) if c in replaced else docs[c] for c in docs.columns])
 
 
