@@ -4,9 +4,9 @@ Built for numpy alone. D_k is the k-th difference over dt^k; z are the observed
 
     1/M |z - H x - e|^2 + lam2/(N-2) |D2 x|^2 + lam3/(N-3) |D3 x|^2 + lam1/M |e|_1
 
-Without lam1, e is 0 (a free e would absorb every residual). The quadratic part is one banded solve; the
-outlier term and the limits are split off by the alternating direction method, whose every step is that
-same solve with a fixed matrix.
+Without lam1, e is 0 (a free e would absorb every residual). The quadratic part is one linear solve. With an
+outlier term or limits it is a convex quadratic program, solved by a primal-dual interior point method in
+which e is eliminated by hand, so that each step is a solve in x alone.
 """
 
 from __future__ import annotations
@@ -50,51 +50,67 @@ def _shrink(v: np.ndarray, by: float) -> np.ndarray:
     return np.sign(v) * np.maximum(np.abs(v) - by, 0.0)
 
 
-def solve(z: np.ndarray, lam1: float = 0.0, lam2: float = 0.0, lam3: float = 1e-7, direction: int | None = None, dt: float = DT, rounds: int = 4000, tolerance: float = 1e-7) -> np.ndarray:
+def _limits(n: int, direction: int, dt: float) -> tuple[np.ndarray, np.ndarray]:
+    """g and h of g x <= h: no backward motion, bounded acceleration and jerk; rows of length 1."""
+    d1, d2, d3 = (differences(n, k, dt) for k in (1, 2, 3))
+    g = np.concatenate([-direction * d1, d2, -d2, d3, -d3])
+    h = np.concatenate([np.zeros(len(d1)), np.full(2 * len(d2), MOST_ACCELERATION), np.full(2 * len(d3), MOST_JERK)])
+    scale = np.linalg.norm(g, axis=1)
+    return g / scale[:, None], h / scale
+
+
+def solve(z: np.ndarray, lam1: float = 0.0, lam2: float = 0.0, lam3: float = 1e-7, direction: int | None = None, dt: float = DT, rounds: int = 100, tolerance: float = 1e-10) -> np.ndarray:
     """The series that minimises the objective; with a direction, under direction * D1 x >= 0, |D2 x| <= 10, |D3 x| <= 10.
 
-    For fixed x the best e is a soft threshold, so lam1 turns the squared error into Huber's. The scaled
-    differences u = C x are kept in their box by projection.
+    e = p - m with p, m >= 0. Slacks s and prices y of the limits, and prices up and um of p and m, stay
+    positive; every step aims at a tenth of the present gap.
     """
     z = np.asarray(z, float)
     if not lam1 and direction is None:
         return least_squares(z, lam2, lam3, dt)
-    q, seen, m = _quadratic(z, lam2, lam3, dt)
-    n, known = len(z), np.where(seen, z, 0.0)
-    blocks, low, high = [], [], []
-    if direction is not None:
-        for k, lo, hi in ((1, 0.0, np.inf), (2, -MOST_ACCELERATION, MOST_ACCELERATION), (3, -MOST_JERK, MOST_JERK)):
-            d = differences(n, k, dt) * (direction if k == 1 else 1)
-            scale = np.linalg.norm(d, axis=1)[:, None]  # rows of length 1, so that one step size fits all
-            blocks.append(d / scale)
-            low.append(np.full(len(d), lo) / scale[:, 0])
-            high.append(np.full(len(d), hi) / scale[:, 0])
-    c = np.concatenate(blocks) if blocks else np.zeros((0, n))
-    lo, hi = (np.concatenate(low), np.concatenate(high)) if blocks else (np.zeros(0), np.zeros(0))
-    # The outlier term is on e with e + H x - z = r; e and u are the split variables.
-    rho = 1.0 / m
-    own = 2 * (q - np.diag(seen / m)) if lam1 else 2 * q
-    base = own + rho * c.T @ c + (rho * np.diag(seen.astype(float)) if lam1 else 0)
-    inverse = np.linalg.inv(base + 1e-12 * np.eye(n))
+    q, seen, count = _quadratic(z, lam2, lam3, dt)
+    n, a = len(z), 2 / count
+    smooth = 2 * (q - np.diag(seen / count))
+    known = np.where(seen, z, 0.0)
+    g, h = _limits(n, direction, dt) if direction is not None else (np.zeros((0, n)), np.zeros(0))
     x = least_squares(z, lam2, lam3, dt)
-    u, y = np.clip(c @ x, lo, hi), np.zeros(len(c))
-    r, s = known * 0, np.zeros(n)  # r stands for z - H x, s for its scaled price
+    s, y = np.maximum(h - g @ x, 1.0), np.ones(len(h))
+    p, m = np.where(seen, 1.0, 0.0), np.where(seen, 1.0, 0.0)
+    up = um = np.where(seen, max(lam1, 1e-3) / count, 0.0)
+    pairs = len(h) + (2 * count if lam1 else 0)
+    safe = lambda v: np.where(seen, v, 1.0)
     for _ in range(rounds):
-        before = x
-        right = rho * c.T @ (u - y)
-        right = right + (rho * np.where(seen, z - r - s, 0.0) if lam1 else 2 * known / m)
-        x = inverse @ right
-        u = np.clip(c @ x + y, lo, hi)
-        y = y + c @ x - u
-        if lam1:
-            v = np.where(seen, z - x - s, 0.0)
-            # min 1/m huber(r) + rho/2 (r - v)^2, where huber is r^2 up to lam1/2 and linear beyond
-            inner = v * rho / (rho + 2 / m)
-            r = np.where(np.abs(inner) <= lam1 / 2, inner, _shrink(v, lam1 / m / rho))
-            s = s + np.where(seen, r + x - z, 0.0)
-        gap = max(np.abs(c @ x - u).max(initial=0.0), np.abs(np.where(seen, r + x - z, 0.0)).max() if lam1 else 0.0)
-        if gap < tolerance and np.abs(x - before).max() < tolerance:
+        r = np.where(seen, known - x - (p - m if lam1 else 0.0), 0.0)
+        off = g @ x + s - h
+        gap = (s @ y + (p @ up + m @ um if lam1 else 0.0)) / max(pairs, 1)
+        slope_x = smooth @ x - a * r + g.T @ y
+        slope_p, slope_m = (np.where(seen, lam1 / count - sign * a * r - u, 0.0) for sign, u in ((1, up), (-1, um)))
+        worst = max(np.abs(slope_x).max(), np.abs(off).max(initial=0.0), np.abs(slope_p).max() if lam1 else 0.0, np.abs(slope_m).max() if lam1 else 0.0)
+        if gap < tolerance and worst < 1e-8:
             break
+        aim, w = 0.1 * gap, y / s
+        right = -slope_x - g.T @ (aim / s - y + w * off)
+        matrix = smooth + (g.T * w) @ g
+        if lam1:
+            wp, wm = up / safe(p), um / safe(m)
+            bp, bm = -slope_p + aim / safe(p) - up, -slope_m + aim / safe(m) - um
+            det = safe(a * (wp + wm) + wp * wm)
+            matrix = matrix + np.diag(np.where(seen, a * wp * wm / det, 0.0))
+            right = right - np.where(seen, a * (wm * bp - wp * bm) / det, 0.0)
+        else:
+            matrix = matrix + np.diag(a * seen)
+        dx = np.linalg.solve(matrix + 1e-14 * np.eye(n), right)
+        ds = -off - g @ dx
+        dy = aim / s - y - w * ds
+        moves = [(s, ds), (y, dy)]
+        if lam1:
+            dp, dm = (np.where(seen, v / det, 0.0) for v in ((a + wm) * bp + a * bm - a * wm * dx, a * bp + (a + wp) * bm + a * wp * dx))
+            dup, dum = (np.where(seen, aim / safe(v) - u - wv * dv, 0.0) for v, u, wv, dv in ((p, up, wp, dp), (m, um, wm, dm)))
+            moves += [(p, dp), (m, dm), (up, dup), (um, dum)]
+        step = min([1.0, *(0.99 * float((v[d < 0] / -d[d < 0]).min()) for v, d in moves if (d < 0).any())])
+        x, s, y = x + step * dx, s + step * ds, y + step * dy
+        if lam1:
+            p, m, up, um = p + step * dp, m + step * dm, up + step * dup, um + step * dum
     return x
 
 
@@ -111,14 +127,14 @@ def mean_error(x: np.ndarray, z: np.ndarray) -> float:
     return float(np.nanmean(np.abs(x - z)))
 
 
-def with_growing_outlier_term(z: np.ndarray, lam1: float, lam2: float, lam3: float, direction: int | None, dt: float = DT, step: float = 1e-3, most: int = 11) -> tuple[np.ndarray, float]:
+def with_growing_outlier_term(z: np.ndarray, lam1: float, lam2: float, lam3: float, direction: int | None, dt: float = DT, step: float = 1e-3, most: int = 11, rounds: int = 100) -> tuple[np.ndarray, float]:
     """Solves with lam1 raised by `step` until the mean error on observed samples stops falling."""
     before, error, x = 999.0, 998.0, None
     for _ in range(most):
         if error >= before:
             break
         lam1 += step
-        x = solve(z, lam1, lam2, lam3, direction, dt)
+        x = solve(z, lam1, lam2, lam3, direction, dt, rounds)
         before, error = error, mean_error(x, z)
     return x, error
 
@@ -162,7 +178,7 @@ def receding(z: np.ndarray, horizon: int, step: int, lam1: float = 0.0, lam2: fl
 _SCHEMA = "id long, slot long, x double, y double, x_score double, y_score double"
 
 
-def rectified(grid: DataFrame, method: str = "constrained", lam1: float = 1e-3, lam2: float = 0.0, lam3: float = 1e-7, dt: float = DT, horizon: int = 400) -> DataFrame:
+def rectified(grid: DataFrame, method: str = "constrained", lam1: float = 1e-3, lam2: float = 0.0, lam3: float = 1e-7, dt: float = DT, horizon: int = 400, rounds: int = 60) -> DataFrame:
     """Smooth series of each id; grid: id, slot, x, y (null: missing), direction, on consecutive slots.
 
     method: opt1 (third differences), opt2 (second and third), opt1_l1, opt2_l1, constrained, receding.
@@ -180,11 +196,11 @@ def rectified(grid: DataFrame, method: str = "constrained", lam1: float = 1e-3,
             if method == "receding" or len(x) > horizon:
                 fx, fy = (receding(v, horizon, max(1, horizon // 2), lam1 if method.endswith("l1") else 0.0, l2, lam3, dt) for v in (x - base, y))
             elif method == "constrained":
-                fx, _ = with_growing_outlier_term(x - base, lam1, l2, lam3, direction, dt)
+                fx, _ = with_growing_outlier_term(x - base, lam1, l2, lam3, direction, dt, rounds=rounds)
                 fy = solve(y, 0.0, l2, lam3, None, dt)
             else:
                 own = lam1 if method.endswith("l1") else 0.0
-                fx, fy = solve(x - base, own, l2, lam3, None, dt), solve(y, own, l2, lam3, None, dt)
+                fx, fy = (solve(v, own, l2, lam3, None, dt, rounds) for v in (x - base, y))
         except (ZeroDivisionError, np.linalg.LinAlgError, ValueError):
             return pd.DataFrame({c.split()[0]: [] for c in _SCHEMA.split(", ")})
         fx = fx + base

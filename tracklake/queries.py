@@ -797,7 +797,7 @@ def asof_previous(spark, d):
 def follow_counts(spark, d):
     """Gap join of whole vehicles: who began within an hour of another's end."""
     f = frs(spark, d).select("fragment_id", "direction", "first_t", "last_t")
-    return gap_join(f, f, ["direction"], "last_t", "first_t", HOUR).groupBy("direction").agg(F.count(F.lit(1)).alias("n"))
+    return gap_join(f, f, ["direction"], "last_t", "first_t", HOUR).groupBy(F.col("a_direction").alias("direction")).agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- rectification and collision ---------------------------------------------------------------------------
