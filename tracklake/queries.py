@@ -13,7 +13,6 @@ from .operators import collision, evaluate, merge, pivot, rectify, series, stitc
 from .operators import documents as D
 from .operators import graph as gr
 from .operators.joins import asof_join, gap_join, overlap_join
-from .plans import pipelines
 from .sources import tables
 from .sources.adapter import HOUR, fragments, points, trajectories
 
@@ -1000,23 +999,3 @@ def bounding_extents(spark, d):
 def metric_registry(spark, d):
     named = {"mean_y": r6(F.avg("y")), "samples": F.count(F.lit(1)), "mean_conf": r6(F.avg("conf"))}
     return evaluate.metrics(pts(spark, d), named, "vehicle_id")
-
-
-# --- whole runs ------------------------------------------------------------------------------------------
-
-
-@query
-def pipeline_one_pass(spark, d):
-    out = pipelines.one_pass(pts(spark, d), SLOT, HOUR)
-    return D.summarise(out, "fragment_id", "direction")
-
-
-@query
-def pipeline_two_passes(spark, d):
-    out = pipelines.two_passes(pts(spark, d), SLOT, HOUR, D.nodes_in_order(frs(spark, d)))
-    return D.summarise(out, "fragment_id", "direction")
-
-
-@query
-def pipeline_rectify_first(spark, d):
-    return D.summarise(pipelines.rectify_first(pts(spark, d), SLOT, HOUR), "fragment_id", "direction")
