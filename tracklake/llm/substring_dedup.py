@@ -6,9 +6,9 @@ string of words, to the bucket of that minimiser. Equal windows have equal minim
 a window meet in one bucket, where windows are sorted and the smallest doc_id of each is found. Words are
 compared as words: hashes only order them, and every run of equal hashes is checked word by word.
 
-Documents are dealt into chunks by id. A chunk sends each distinct super-k-mer once, with the smallest
-and largest doc_id that holds it, so a passage in a third of all documents reaches its bucket as one row
-per chunk. The bucket answers to the chunk, not to the document: for the windows that some document of
+Documents are dealt into chunks by id, packed and compressed. A chunk sends each distinct super-k-mer
+once, with the smallest and largest doc_id that holds it, so a passage in a third of all documents reaches
+its bucket as one row per chunk. The bucket answers to the chunk, not to the document: for the windows that some document of
 the chunk must give up, the smallest doc_id. Each chunk then cuts its own documents.
 """
 
@@ -26,12 +26,13 @@ from pyspark.sql import functions as F
 from .common import NO_ID, batch, byte_array, concat_ranges, has_columns, hash_runs, hash_spans, internal_id, partitions, slices, words
 
 WINDOW = 13
-MINIMISER_WORDS = 3
+MINIMISER_WORDS = 2
 #: Bytes of text in a chunk; a chunk is what one task holds.
 CHUNK_BYTES = 8 << 20
 #: Buckets for each shuffle partition: a bucket is what one reducer holds at a time.
 BUCKETS_PER_PARTITION = 4
 
+_DEALT_ARROW = pa.schema([("chunk", pa.int64()), ("docs", pa.binary())])
 _SENT = "bucket int, chunk long, strings binary"
 _SENT_ARROW = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("strings", pa.binary())])
 _ANSWER = "chunk long, windows binary"
@@ -127,7 +128,8 @@ class Chunk:
         k, m = key[order], self.minimiser[order]
         new = np.ones(len(order), bool)
         new[1:] = (k[1:] != k[:-1]) | (m[1:] != m[:-1])
-        new[1:] |= ~self._equal(order[1:], order[:-1])
+        again = np.flatnonzero(~new)
+        new[again] = ~self._equal(order[again], order[again - 1])
         self.string = np.zeros(len(order), np.int64)
         self.string[order] = np.cumsum(new) - 1
         heads = np.flatnonzero(new)
@@ -209,30 +211,43 @@ def _SQUEEZE(text: bytes) -> bytes:  # noqa: N802
     return b" ".join(w for w in text.split(b" ") if w)
 
 
+def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packs rows (chunk, id, text) of one chunk that come in one batch."""
+    for b in batches:
+        chunk, ids = b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)
+        data, offsets = byte_array(b.column(2))
+        order = np.argsort(chunk, kind="stable")
+        numbers, packed = [], []
+        for own in np.split(order, np.flatnonzero(np.diff(chunk[order])) + 1):
+            if len(own):
+                n = offsets[own + 1] - offsets[own]
+                numbers.append(int(chunk[own[0]]))
+                packed.append(_packed(ids[own], n, data[concat_ranges(offsets[own], n)]))
+        yield batch(_DEALT_ARROW, numbers, packed)
+
+
+def _chunk(packed: list[bytes]) -> Chunk:
+    parts = [_unpacked(x, np.int64, np.int64, np.uint8) for x in packed]
+    ids, n, data = (np.concatenate([p[k] for p in parts]) for k in range(3))
+    offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
+    return Chunk(ids, pa.Array.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(data)]))
+
+
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Chunk]]:
     """Rows arrive in order of chunk; a chunk is complete when the next one begins."""
-    held: list[pa.RecordBatch] = []
+    held: list[bytes] = []
     now = None
     for b in batches:
-        chunk = b.column(0).to_numpy(zero_copy_only=False)
-        cuts = [0, *(np.flatnonzero(np.diff(chunk)) + 1), len(chunk)]
-        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
-            if i == j:
-                continue
-            if now is not None and chunk[i] != now:
+        for number, packed in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            if held and number != now:
                 yield now, _chunk(held)
                 held = []
-            now = int(chunk[i])
-            held.append(b.slice(i, j - i))
+            now = number
+            held.append(packed.as_py())
     if held:
         yield now, _chunk(held)
 
 
-def _chunk(held: list[pa.RecordBatch]) -> Chunk:
-    table = pa.Table.from_batches(held)
-    return Chunk(table["id"].to_numpy(), table["text"].combine_chunks())
-
-
 def _send(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, chunk in _chunks(batches):
@@ -292,7 +307,7 @@ def _equal_windows(codes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.nd
 def _cut_chunk(answers: pa.Table, docs: pa.Table) -> pa.Table:
     if not docs.num_rows:
         return _RESULT_ARROW.empty_table()
-    chunk = Chunk(docs["id"].to_numpy(), docs["text"].combine_chunks())
+    chunk = _chunk(docs["docs"].to_pylist())
     parts = [_unpacked(x, np.int64, np.int64, np.int64) for x in answers["windows"].to_pylist()]
     told = [np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in range(3)]
     return chunk.kept(chunk.removed(*told))
@@ -313,10 +328,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     chunks = max(partitions(spark), -(-size // CHUNK_BYTES))
     rows = docs.select(internal_id().alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.select(F.pmod(F.xxhash64("id"), F.lit(chunks)).alias("chunk"), "id", "text")
-    dealt = rows.repartition("chunk").sortWithinPartitions("chunk")
-    sent = dealt.mapInArrow(_send(buckets), _SENT)
+    # One exchange serves both passes over the chunks.
+    dealt = rows.mapInArrow(_deal, "chunk long, docs binary").repartition("chunk")
+    sent = dealt.sortWithinPartitions("chunk").mapInArrow(_send(buckets), _SENT)
     answers = sent.groupBy("bucket").applyInArrow(_window_minima, _ANSWER)
-    return answers.groupBy("chunk").cogroup(rows.groupBy("chunk")).applyInArrow(_cut_chunk, _RESULT)
+    return answers.groupBy("chunk").cogroup(dealt.groupBy("chunk")).applyInArrow(_cut_chunk, _RESULT)
 
 
 ORACLE = r"""
