@@ -8,15 +8,17 @@ The join is exact over 64-bit shingle hashes, in these steps.
    share one of the first size - ceil(0.8 * size) + 1 members of each. Members found often within
    partitions are ordered last; the order is only a matter of speed. Each map task sends one copy of each
    class, packed by bucket of the member, so a class of any number of copies costs a row per task.
-3. Classes that share a prefix member form a posting; the connected components of all postings are
-   independent pieces of work. A component is cut into size-banded tiles: a band holds sizes within a
-   factor 1.25, so links join classes of one band or of neighbouring bands. Large tiles are cut into
-   blocks, and each pair of blocks is a task's work, whatever the size of the component.
-4. In a tile, a hashed parity bitmap of each set bounds the overlap from above by counting the bits in which
-   two bitmaps differ; only pairs that pass get the exact intersection of sorted arrays. Classes already
-   known to be connected within the tile are not compared again, so a group of n near copies takes about
-   n comparisons, and the tile gives the links of a spanning forest.
-5. The components of those links, with the smallest doc_id of each, are the result.
+3. Classes that share a prefix member form a posting; those of a posting whose sizes allow a link are
+   tied together, and the connected components of all ties are independent pieces of work. A component is cut
+   into size-banded tiles: a band holds sizes within a factor 1.25, so links join classes of one band or of
+   neighbouring bands. Large tiles are cut into blocks, and each pair of blocks is a task's work, whatever
+   the size of the component.
+4. A first pass over the tiles has only hashed parity bitmaps, a bit for a member: the number of bits in which
+   two bitmaps differ bounds the overlap from above. The components of the pairs that pass are tiled
+   again, and a second pass, with the sorted arrays, intersects exactly what the bounds leave. Classes
+   already known to be connected within a tile are not compared again, so a group of n near copies takes
+   about n comparisons, and each pass gives the links of a spanning forest.
+5. The components of the exact links, with the smallest doc_id of each, are the result.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ NEED_PART, NEED_WHOLE = 80, 100
 #: Classes in a block of a large tile; a task holds two blocks.
 BLOCK_CLASSES = 4096
 #: Members counted as frequent: seen this often in a partition, this often in all, and at most so many.
-FREQUENT_IN_TASK, FREQUENT_IN_ALL, FREQUENT_MOST = 3, 24, 200_000
+FREQUENT_IN_TASK, FREQUENT_IN_ALL, FREQUENT_MOST = 3, 6, 200_000
 SENT_BYTES = 64 << 20
 BUCKETS_PER_PARTITION = 4
 
@@ -168,17 +170,17 @@ def _prefixes(buckets: int, frequent: np.ndarray, rank: np.ndarray):
 
 
 def _postings(table: pa.Table) -> pa.Table:
-    """One bucket: for each member held by several classes, the links of each to the first of them."""
+    """One bucket: of the classes that hold one member, those whose sizes form a run of allowed steps, tied to its first."""
     parts = [np.frombuffer(x, np.uint64).reshape(3, -1) for x in table["postings"].to_pylist()]
     member, node, n = (np.concatenate([p[k] for p in parts]) for k in range(3))
-    order = np.lexsort((node, member))
-    member, node = member[order], node[order]
-    same = member[1:] == member[:-1]
-    heads = np.flatnonzero(np.concatenate([[True], ~same]))
+    order = np.lexsort((node, n, member))
+    member, node, n = member[order], node[order], n[order].astype(np.int64)
+    new = np.ones(len(member), bool)
+    new[1:] = (member[1:] != member[:-1]) | (NEED_PART * n[1:] > NEED_WHOLE * n[:-1])
+    heads = np.flatnonzero(new)
     leader = np.repeat(node[heads], np.diff(np.append(heads, len(node))))
-    u, v = node, leader
-    keep = np.flatnonzero(u != v)
-    pairs = np.unique(np.stack([u[keep], v[keep]]), axis=1) if len(keep) else np.zeros((2, 0), np.uint64)
+    other = node != leader
+    pairs = np.unique(np.stack([node[other], leader[other]]), axis=1) if other.any() else np.zeros((2, 0), np.uint64)
     return pa.Table.from_arrays([pa.array(x.view(np.int64)) for x in np.ascontiguousarray(pairs)], schema=_EDGE_ARROW)
 
 
@@ -191,8 +193,11 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     are dropped.
     """
     now = cut(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    before = None
     for _ in range(rounds):
+        edges_now, below = now.agg(F.count(F.lit(1)), F.count_distinct("u")).first()
+        roots = now.select("v").distinct()
+        if edges_now == below and now.select(F.col("u").alias("v")).join(roots, "v", "left_semi").isEmpty():
+            break  # stars: every node below a root, and no root below another
         both = now.union(now.select("v", "u").toDF("u", "v"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -200,10 +205,6 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         small = large.join(least, "u")
         small = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.toDF("u", "v"))
         now = cut(small.distinct())
-        state = now.agg(F.count(F.lit(1)), F.count_distinct("u"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if state[0] == state[1] and state == before:  # one root each, and nothing moved
-            break
-        before = state
     else:
         raise RuntimeError("components did not settle")
     nodes = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
@@ -218,67 +219,102 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch(_MEMBERS_ARROW, _sums(members, at)[0].view(np.int64), body)
 
 
-def _bitmaps(members: np.ndarray, at: np.ndarray, bits: int) -> np.ndarray:
-    """Parity bitmaps: bit k tells whether an odd number of members hash to k."""
-    n = len(at) - 1
-    row = np.repeat(np.arange(n), np.diff(at))
-    place = (mix(members + np.uint64(99)) % np.uint64(bits)).astype(np.int64)
-    odd = np.bincount(row * bits + place, minlength=n * bits).astype(np.uint8) & 1
-    return np.packbits(odd.reshape(n, bits), axis=1).view(np.uint64)
+def _bits(n: np.ndarray) -> np.ndarray:
+    """Bits of a set's bitmap: the next power of two from its size on, 64 at least and 65536 at most."""
+    return np.minimum(1 << 16, 1 << np.ceil(np.log2(np.maximum(n, 64))).astype(np.int64))
+
+
+def _bitmap(members: np.ndarray, bits: int) -> np.ndarray:
+    """Parity bitmap: bit k tells whether an odd number of members hash to k modulo `bits`.
+
+    The bitmap of half as many bits is the XOR of its halves.
+    """
+    odd = np.bincount((mix(members + np.uint64(99)) % np.uint64(bits)).astype(np.int64), minlength=bits).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").view(np.uint64)
+
+
+def _send_bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bitmap of each class, once for each task."""
+    for node, members, at in _distinct_sets(batches):
+        bits = _bits(np.diff(at))
+        body = [_bitmap(members[at[i] : at[i + 1]], int(bits[i])).tobytes() for i in range(len(node))]
+        yield batch(_MEMBERS_ARROW, node.view(np.int64), body)
 
 
 class Tile:
-    """The classes of a tile in order of size, with what comparing them needs."""
+    """The classes of a tile in order of size, with their bitmaps and, in the exact pass, their members."""
 
-    def __init__(self, nodes: np.ndarray, side: np.ndarray, bodies: list[bytes]):
-        n = np.array([len(x) // 8 for x in bodies], np.int64)
+    def __init__(self, nodes: np.ndarray, side: np.ndarray, n: np.ndarray, bitmaps: list[np.ndarray], members: list[np.ndarray] | None = None):
         order = np.lexsort((nodes, n))
         self.nodes, self.side, self.n = nodes[order], side[order], n[order]
-        self.at = np.concatenate([[0], np.cumsum(self.n)]).astype(np.int64)
-        self.members = np.frombuffer(b"".join(bodies[i] for i in order), np.uint64)
-        #: About a bit for each member of the largest set, 64 at least and 65536 at most.
-        bits = min(1 << 16, max(64, 1 << int(self.n.max(initial=1) - 1).bit_length()))
-        step = max(1, (1 << 22) // bits)
-        own = [_bitmaps(self.members[self.at[i] : self.at[j]], self.at[i : j + 1] - self.at[i], bits) for i, j in ((i, min(i + step, len(n))) for i in range(0, len(n), step))]
-        self.bitmaps = np.concatenate(own)
+        self.members = [members[i] for i in order] if members is not None else None
+        self.bits = _bits(self.n)
+        #: For each number of bits: the first class with that many, and the bitmaps of all such.
+        self.level = {}
+        for b in np.unique(self.bits).tolist():
+            own = np.flatnonzero(self.bits == b)
+            self.level[b] = (int(own[0]), np.stack([bitmaps[order[i]] for i in own]))
         self.root = np.arange(len(n))
 
+    def close(self, i: int, rest: np.ndarray) -> np.ndarray:
+        """Which of `rest` (no larger than i) may link with i. Sizes of a link differ by one doubling at most."""
+        differ = np.empty(len(rest), np.int64)
+        at, own = self.level[int(self.bits[i])]
+        mine, same = own[i - at], self.bits[rest] == self.bits[i]
+        differ[same] = np.bitwise_count(own[rest[same] - at] ^ mine).sum(axis=1, dtype=np.int64)
+        if not same.all():
+            at, own = self.level[int(self.bits[i]) // 2]
+            half = mine[: len(mine) // 2] ^ mine[len(mine) // 2 :]
+            differ[~same] = np.bitwise_count(own[rest[~same] - at] ^ half).sum(axis=1, dtype=np.int64)
+        # |x ^ y| is at least the number of differing parity bits, so this bounds the overlap from above.
+        both = self.n[rest] + self.n[i]
+        return rest[(NEED_WHOLE + NEED_PART) * ((both - differ) // 2) >= NEED_PART * both]
+
     def links(self, cross: bool) -> Iterator[tuple[int, int]]:
         """A spanning forest of the links; if cross, only links between side 0 and side 1 are looked for."""
         for i in range(1, len(self.n)):
             first = int(np.searchsorted(self.n[:i], -(-NEED_PART * self.n[i] // NEED_WHOLE)))
             rest = np.arange(first, i)
+            rest = rest[self.root[rest] != self.root[i]]
             if cross:
                 rest = rest[self.side[rest] != self.side[i]]
-            # |x ^ y| is at least the number of differing parity bits, so this bounds the overlap from above.
             if len(rest):
-                differ = np.bitwise_count(self.bitmaps[rest] ^ self.bitmaps[i]).sum(axis=1, dtype=np.int64)
-                both = self.n[rest] + self.n[i]
-                rest = rest[(NEED_WHOLE + NEED_PART) * (both - differ) // 2 >= NEED_PART * both]
-            # The most alike come last in size; each success takes a whole known group out of the rest.
+                rest = self.close(i, rest)
+            # Each success takes a whole known group out of the rest.
             group = self.root[rest]
-            rest, group = rest[group != self.root[i]], group[group != self.root[i]]
             while len(rest):
                 j = int(rest[-1])
                 keep = np.arange(len(rest)) < len(rest) - 1
-                if self.linked(i, j):
+                if self.members is None or self.linked(i, j):
                     yield int(self.nodes[i]), int(self.nodes[j])
                     keep = group != group[-1]
                     self.root[self.root == group[-1]] = self.root[i]
                 rest, group = rest[keep], group[keep]
 
     def linked(self, i: int, j: int) -> bool:
-        x, y = self.members[self.at[i] : self.at[i + 1]], self.members[self.at[j] : self.at[j + 1]]
+        x, y = self.members[i], self.members[j]
         if len(x) > len(y):
             x, y = y, x
         common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()) if len(x) else 0
         return NEED_WHOLE * common >= NEED_PART * (len(x) + len(y) - common)
 
 
-def _tile_links(table: pa.Table) -> pa.Table:
-    tile = Tile(table["node"].to_numpy(), table["side"].to_numpy(), table["members"].to_pylist())
-    found = list(tile.links(bool(table["crossing"][0].as_py())))
-    return pa.Table.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], schema=_EDGE_ARROW)
+def _forest(table: pa.Table, exact: bool) -> pa.Table:
+    node, at = np.unique(table["node"].to_numpy(), return_index=True)
+    body = [np.frombuffer(x, np.uint64) for x in table["members"].take(pa.array(at)).to_pylist()]
+    n, side = table["n"].to_numpy()[at], table["side"].to_numpy()[at]
+    bitmaps = [_bitmap(x, int(b)) for x, b in zip(body, _bits(n), strict=True)] if exact else body
+    tile = Tile(node, side, n, bitmaps, body if exact else None)
+    for _ in tile.links(bool(table["crossing"][0].as_py())):
+        pass
+    tied = tile.root != np.arange(len(tile.root))  # stars: the same components in fewer rounds
+    return pa.Table.from_arrays([pa.array(tile.nodes[tied]), pa.array(tile.nodes[tile.root[tied]])], schema=_EDGE_ARROW)
+
+
+def _links(classes: DataFrame, body: DataFrame, exact: bool) -> DataFrame:
+    """Links (u, v) between classes (node, n, root) of one root; body: node and its bitmap, or its members if exact."""
+    tiles = _dealt_to_tiles(classes).join(body, "node")
+    return tiles.groupBy("root", "lo", "i", "hi", "j").applyInArrow(lambda table: _forest(table, exact), "u long, v long")
 
 
 def _dealt_to_tiles(classes: DataFrame) -> DataFrame:
@@ -306,7 +342,7 @@ def _dealt_to_tiles(classes: DataFrame) -> DataFrame:
         )
     )
     rows = rows.withColumn("block", block).withColumn("tile", F.explode(tiles))
-    return rows.select("node", "root", "tile.*")
+    return rows.select("node", "n", "root", "tile.*")
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
@@ -333,14 +369,13 @@ def near_groups(docs: DataFrame) -> DataFrame:
     sent = rows.mapInArrow(_prefixes(buckets, frequent[order], often["times"].to_numpy()[order]), "bucket int, postings binary")
     candidates = sent.groupBy("bucket").applyInArrow(_postings, "u long, v long")
     pieces = components(candidates)
+    bitmaps = rows.mapInArrow(_send_bitmaps, "node long, members binary")
+    alike = components(_links(cut(classes.join(pieces, "node")), bitmaps, exact=False))
 
-    work = cut(classes.join(pieces, "node").select("node", "n", "root", "least"))
+    work = cut(classes.join(alike, "node"))
     wanted = work.select(F.col("least").alias("id")).distinct()
     members = rows.join(wanted, "id", "left_semi").select("id", "text").mapInArrow(_members, "node long, members binary")
-    # Rows that repeat a doc_id may bring a class twice, or one that isn't asked for; the join and min settle both.
-    members = members.groupBy("node").agg(F.min("members").alias("members"))
-    tiles = _dealt_to_tiles(work.select("node", "n", "root")).join(members, "node")
-    links = tiles.groupBy("root", "lo", "i", "hi", "j").applyInArrow(_tile_links, "u long, v long")
+    links = _links(work, members, exact=True)
 
     joined = components(links)
     grouped = classes.join(joined, "node", "left").select("node", "n", "least", F.coalesce("root", "node").alias("root"))
