@@ -1,7 +1,7 @@
 """Exact top-k inner-product search with an impact-ordered, score-at-a-time index.
 
 Vectors are integers. A block of rows is indexed by (dimension, quantised impact): component v is
-STEP * level + rest with 0 <= rest < STEP, and the posting segment of a level lists the rows that have
+STEP * level + rest with |rest| <= STEP / 2, and the posting segment of a level lists the rows that have
 it. A query visits segments in descending |query component| * |STEP * level| and adds each impact to its
 rows' scores. What is still unvisited bounds how far any score can move; the visit stops only when
 at most as many rows as are worth rescoring can still reach the k-th best lower bound. Those rows, ties
@@ -27,8 +27,13 @@ STEP = 16
 BLOCK_ROWS, QUERY_ROWS = 32768, 512
 #: Components from here on are left out: 64 products of two such would still fit 64 bits.
 LARGEST = 2.0**18
-#: Visiting goes on while more than this share of a block could still be a member.
-RESCORE_SHARE = 0.02
+#: After these shares of the segments the bounds are tried; visiting ends once at most RESCORE_SHARE of
+#: the block could be a member.
+VISITS = (0.6, 0.75, 1.0)
+RESCORE_SHARE = 0.2
+#: Place of the count of visited dimensions in a packed score.
+SHIFT_BITS = 12
+SHIFT = 1 << SHIFT_BITS
 _SCHEMA = "query_id long, vec_id long, score long"
 _ARROW = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
@@ -38,43 +43,44 @@ class BlockIndex:
 
     def __init__(self, vectors: np.ndarray, step: int = STEP):
         self.vectors, self.step = vectors, step
-        levels = vectors // step  # floor, so the rest is 0 .. step - 1
-        self.order = np.argsort(levels, axis=0, kind="stable").astype(np.int32)
-        self.segments = []  # (dimension, level, first, last) over order[:, dimension]
+        levels = (vectors + step // 2) // step  # to the nearest, so the rest is -step / 2 .. step / 2 - 1
+        rest = vectors - step * levels
+        self.rest_norm = float(np.sqrt((rest * rest).sum(axis=1).max(initial=0)))
+        order = np.argsort(levels, axis=0, kind="stable").astype(np.int32)
+        dims, kinds, self.rows = [], [], []
         for d in range(vectors.shape[1]):
-            own = levels[self.order[:, d], d]
+            own = levels[order[:, d], d]
             cuts = np.flatnonzero(np.diff(own)) + 1
-            first = np.concatenate([[0], cuts])
-            for a, b in zip(first, np.concatenate([cuts, [len(own)]]), strict=True):
-                self.segments.append((d, int(own[a]), int(a), int(b)))
-        self.dim = np.array([s[0] for s in self.segments])
-        self.level = np.array([s[1] for s in self.segments], np.int64)
+            for rows in np.split(order[:, d], cuts):
+                dims.append(d)
+                kinds.append(int(levels[rows[0], d]))
+                self.rows.append(np.ascontiguousarray(rows))
+        self.dim, self.level = np.array(dims, np.int64), np.array(kinds, np.int64)
 
     def search(self, query: np.ndarray, k: int, live: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rows of `live` (the k best, their ties and perhaps more) and their exact scores."""
-        step, n = self.step, len(self.vectors)
-        impact = query[self.dim] * self.level * step
-        order = np.argsort(-np.abs(impact), kind="stable")
-        # A dimension not yet visited for a row moves its score by an impact between low and high, and
-        # every dimension by a rest in 0 .. step - 1 times the query's component.
+        """Rows of `live` (the k best, their ties and perhaps more) and their exact scores.
+
+        A row's score and the number of its dimensions visited are kept in one integer. What is left of a row
+        is at most the next segment's impact for each dimension not visited, and the rests.
+        """
         dims = self.vectors.shape[1]
-        low, high = np.full(dims, np.iinfo(np.int64).max), np.full(dims, np.iinfo(np.int64).min)
-        np.minimum.at(low, self.dim, impact)
-        np.maximum.at(high, self.dim, impact)
-        below = np.full(n, low.sum() + np.minimum(query, 0).sum() * (step - 1))
-        above = np.full(n, high.sum() + np.maximum(query, 0).sum() * (step - 1))
-        # Most of the mass is needed before a bound can cut anything, so the first visit is a long one.
-        at, size = 0, max(1, len(order) // 2)
-        while at < len(order) and live.sum() > k:
-            for s in order[at : at + size]:
-                d, _, a, b = self.segments[s]
-                rows = self.order[a:b, d]
-                below[rows] += impact[s] - low[d]
-                above[rows] += impact[s] - high[d]
-            at, size = at + size, max(1, size // 2)
-            kth = np.partition(below[live], -k)[-k]
-            live = live & (above >= kth)
-            if live.sum() <= max(4 * k, RESCORE_SHARE * n):
+        impact = query[self.dim] * self.level * self.step
+        order = np.argsort(-np.abs(impact), kind="stable")
+        left = np.abs(impact)[order]
+        rests = min(int(np.abs(query).sum()) * (self.step // 2), int(np.sqrt(float(query @ query)) * self.rest_norm) + 1)
+        packed = impact * SHIFT + 1
+        total = np.zeros(len(self.vectors), np.int64)
+        stops = [int(len(order) * share) for share in VISITS]
+        for at, stop in zip([0, *stops[:-1]], stops, strict=True):
+            if live.sum() <= k:
+                break
+            for s in order[at:stop].tolist():
+                total[self.rows[s]] += packed[s]
+            seen, score = total & (SHIFT - 1), total >> SHIFT_BITS
+            most = (dims - seen) * (left[stop] if stop < len(left) else 0) + rests
+            kth = np.partition((score - most)[live], -k)[-k]
+            live = live & (score + most >= kth)
+            if live.sum() <= max(4 * k, RESCORE_SHARE * len(live)):
                 break  # no other row can be a member; these are rescored
         rows = np.flatnonzero(live)
         return rows, self.vectors[rows] @ query
