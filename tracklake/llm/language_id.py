@@ -7,12 +7,15 @@ whatever the number of times it occurs.
 
 Training counts words per language in each task, shares every word's count out over its segmentations
 (one expectation step from a uniform start, by forward and backward sums), and adds up the expected piece
-counts: at most vocabulary size times languages rows reach the driver, whatever the corpus size.
+counts: at most vocabulary size times languages rows reach the driver, whatever the corpus size. It reads
+the whole texts of about TRAINING_DOCS documents of each language, told by a hash of the id, or of all
+where there are fewer.
 """
 
 from __future__ import annotations
 
 import functools
+import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -34,21 +37,19 @@ UNKNOWN = -16.0
 #: Words longer than this are scored in parts of this length.
 LONGEST_WORD = 64
 CACHED_WORDS, COUNTED_WORDS = 200_000, 200_000
+#: The bound on the sample that the model is fitted on: documents of each language, as expected over ids.
+TRAINING_DOCS = 4000
 #: Documents whose crc32 is 0 modulo this are held out of training.
 FOLDS = 5
 
-_WORD = regex.compile(r"[\p{L}\p{M}]+")
-_LETTER = regex.compile(r"\p{L}")
+_WORD = re.compile(r"[^\W\d_]+")
 _COUNTS_ARROW = pa.schema([("lang", pa.string()), ("piece", pa.int32()), ("expected", pa.float64())])
 _RESULT_ARROW = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
 
 @functools.cache
 def pieces(path: str) -> tuple[dict[str, int], int]:
-    """The letter pieces of the vocabulary (a word-start mark stands as a leading space), and the longest.
-
-    Beginnings of pieces that are no pieces themselves stand in the table with -1.
-    """
+    """The letter pieces of the vocabulary (a word-start mark stands as a leading space), and the longest."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -57,14 +58,26 @@ def pieces(path: str) -> tuple[dict[str, int], int]:
         piece = model.id_to_piece(i).replace("▁", " ").lower()
         if not (model.is_control(i) or model.is_byte(i) or model.is_unknown(i)) and regex.fullmatch(r" ?[\p{L}\p{M}]*", piece) and piece:
             found.setdefault(piece, len(found))
-    for piece in list(found):
-        for k in range(1, len(piece)):
-            found.setdefault(piece[:k], -1)
     return found, max(map(len, found))
 
 
 def size_of(path: str) -> int:
-    return 1 + max(pieces(path)[0].values())
+    return len(pieces(path)[0])
+
+
+@functools.cache
+def trie(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Arcs of the pieces' trie in order of (node, character), the node each leads to, and each node's piece or -1."""
+    known, _ = pieces(path)
+    nodes = {"": 0}
+    for piece in known:
+        for k in range(1, len(piece) + 1):
+            nodes.setdefault(piece[:k], len(nodes))
+    arcs = sorted((nodes[text[:-1]] << 21 | ord(text[-1]), number) for text, number in nodes.items() if text)
+    piece = np.full(len(nodes), -1, np.int32)
+    for text, number in known.items():
+        piece[nodes[text]] = number
+    return np.array([a for a, _ in arcs], np.int64), np.array([n for _, n in arcs], np.int64), piece
 
 
 def words_of(text: str) -> list[str]:
@@ -78,22 +91,30 @@ def _parts(word: str) -> list[str]:
 
 
 def lattice(parts: list[str], path: str) -> np.ndarray:
-    """piece[w, i, k]: the number of the piece parts[w][i : i + k + 1], or -1; and -2 for an unknown character."""
-    known, longest = pieces(path)
-    width = max(map(len, parts), default=0)
+    """piece[w, i, k]: the number of the piece parts[w][i : i + k + 1], or -1; and -2 for an unknown character.
+
+    All places of all words walk the trie together, a character at a time.
+    """
+    arcs, target, piece = trie(path)
+    longest = pieces(path)[1]
+    lengths = np.array([len(p) for p in parts], np.int64)
+    width = int(lengths.max(initial=0))
+    codes = np.zeros((len(parts), width + longest), np.int64)
+    flat = np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32)
+    codes[:, :width][np.arange(width) < lengths[:, None]] = flat
     out = np.full((len(parts), width, longest), -1, np.int32)
-    get = known.get
-    for w, part in enumerate(parts):
-        n = len(part)
-        for i in range(n):
-            row = out[w, i]
-            for k in range(min(longest, n - i)):
-                number = get(part[i : i + k + 1])
-                if number is None:
-                    break
-                row[k] = number
-            if row[0] < 0:
-                row[0] = -2  # a single unknown character keeps every word reachable
+    w, i = np.nonzero(np.arange(width) < lengths[:, None])
+    node = np.zeros(len(w), np.int64)
+    for k in range(longest):
+        key = node << 21 | codes[w, i + k]
+        arc = np.minimum(np.searchsorted(arcs, key), len(arcs) - 1)
+        hit = arcs[arc] == key
+        w, i, node = w[hit], i[hit], target[arc[hit]]
+        if not len(w):
+            break
+        out[w, i, k] = piece[node]
+    first = out[:, :, 0]
+    first[(first < 0) & (np.arange(width) < lengths[:, None])] = -2  # a single unknown character keeps every word reachable
     return out
 
 
@@ -194,15 +215,16 @@ class Model:
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """A language and its posterior probability (uniform prior) for each text."""
-        counts = [Counter(words_of(t)) if t and _LETTER.search(t) else None for t in texts]
+        counts = [Counter(words_of(t)) if t and any(map(str.isalpha, t)) else None for t in texts]
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
+        if self.languages:
+            self.word_scores([w for words in counts if words for w in words])
         out = []
         for words in counts:
             if not words or not self.languages:
                 out.append((UNDETERMINED, 0.0))
                 continue
-            self.word_scores(list(words))
             total = np.array(list(words.values())) @ np.stack([self.known[w] for w in words])
             share = np.exp(total - total.max())
             share /= share.sum()
@@ -211,9 +233,13 @@ class Model:
         return out
 
 
-def train(docs: DataFrame, vocabulary: str) -> Model:
-    """From text and non-null lang of every document that is not held out."""
-    rows = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
+def train(docs: DataFrame, vocabulary: str, most: int = TRAINING_DOCS) -> Model:
+    """From text and non-null lang of documents that are not held out, about `most` of each language."""
+    labelled = ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull()
+    sizes = docs.where(labelled).groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    share = sizes.select("lang", (F.lit(2.0**31) * F.least(F.lit(1.0), most / F.col("n"))).alias("below"))
+    place = F.pmod(F.xxhash64(F.lit(8), "doc_id"), F.lit(1 << 31))
+    rows = docs.where(labelled).select("text", "lang", place.alias("place")).join(F.broadcast(share), "lang").where("place < below").select("text", "lang")  # a row for each language
     counts = rows.mapInArrow(_count(vocabulary), "lang string, piece int, expected double").groupBy("lang", "piece").agg(F.sum("expected").alias("expected"))
     table = counts.toArrow()  # bounded: a row for each language and piece
     languages = sorted(set(table["lang"].to_pylist()))
