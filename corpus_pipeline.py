@@ -15,26 +15,38 @@ from tracklake.llm.common import shared_dir
 LEAST_CERTAIN = 0.5
 
 
-def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is in kept; a null id is a value here. Rows are told by doc_id."""
-    kept = kept.select(F.col("doc_id").alias("kept_id"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a key of each row, and the name of that column. It is written, so a row keeps its key however often it is read."""
+    key = "row_key"
+    while key in docs.columns:
+        key += "_"
+    path = f"{shared_dir(docs.sparkSession)}/tables/{uuid.uuid4().hex}"
+    keyed = docs.withColumn(key, F.monotonically_increasing_id())
+    keyed.write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(keyed.schema).parquet(path), key
+
+
+def _only(docs: DataFrame, kept: DataFrame, key: str) -> DataFrame:
+    """The rows of docs whose key is in kept."""
+    return docs.join(kept.select(key), key, "left_semi").drop(key)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language stay: not `und`, and not less certain than LEAST_CERTAIN."""
-    found = language_id.identify(docs)
-    return _only(docs, found.where((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_CERTAIN)))
+    found = language_id.identify(docs, carry=True)
+    return found.where((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_CERTAIN)).select("carried.*")
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest doc_id stays; rows that repeat a doc_id become one."""
-    return _only(docs, exact_dedup.duplicates(docs).where("kept")).dropDuplicates(["doc_id"])
+    """Of equal texts one row stays, with the largest doc_id; rows of different texts stay, whatever their ids."""
+    docs, key = _keyed(docs)
+    return _only(docs, exact_dedup.duplicates(docs, key=key).where("kept"), key)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document that names its group (the smallest doc_id) stays."""
-    return _only(docs, ngram_join.near_groups(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    """The document that names its group (the smallest doc_id) stays, and of rows that repeat that id in the group just one."""
+    docs, key = _keyed(docs)
+    return _only(docs, ngram_join.near_groups(docs, key=key).where("kept"), key)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,13 +54,11 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     A document of which nothing is left stays, with an empty text; n_chars is counted anew.
     """
-    cut = substring_dedup.remove_repeats(docs).where("n_removed > 0").select(F.col("doc_id").alias("cut_id"), "kept_text")
-    joined = docs.join(cut, docs["doc_id"] == cut["cut_id"], "left")
-    new = cut["kept_text"]
-    replaced = {"text": F.coalesce(new, docs["text"])}
+    out = substring_dedup.remove_repeats(docs, carry=True)
+    new = {"text": F.when(~F.col("carried.no_text"), F.col("new_text"))}
     if "n_chars" in docs.columns:
-        replaced["n_chars"] = F.when(new.isNotNull(), F.length(new).cast("long")).otherwise(docs["n_chars"])
-    return joined.select(*[replaced[c].alias(c) if c in replaced else docs[c] for c in docs.columns])
+        new["n_chars"] = F.when(F.col("n_removed") > 0, F.length("new_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("carried.row.n_chars"))
+    return out.select(*[new.get(c, F.col("carried.row").getField(c) if c != "text" else None).alias(c) for c in docs.columns])
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -47,3 +47,44 @@ def test_stages(spark, tmp_path):
 def test_run_and_empty(spark, tmp_path, empty):
     empty.write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_rows_without_an_id_of_their_own(spark, tmp_path):
+    """Rows of one doc_id, or of none, are told apart: none is lost, multiplied or given another's text."""
+    import random
+    from collections import Counter
+
+    rng = random.Random(9)
+    voc = "the of and to in is that with over house water time people river stone green light paper".split()
+    text = lambda n: " ".join(rng.choice(voc) + rng.choice(["", "s", "ly"]) for _ in range(n))
+    a, b, c, d, e, passage = text(60), text(60), text(60), text(60), text(60), text(40)
+    near_a = a.rsplit(" ", 1)[0] + " other"
+    unique = [(None, text(50 + k)) for k in range(10)] + [(7, text(45)), (7, text(46))]
+    rows = [*unique, (1, a), (9, a), (1, b), (None, c), (None, c.upper()), (3, d), (3, "12 34"), (4, passage), (5, passage + " " + e), (5, text(30) + " stays")]
+    rows += [(9, near_a)]  # of one group, which two rows with its smallest id name
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t), k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long, row_key int").repartition(3)
+    now, seen = docs, {}
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        stage(spark, now, str(tmp_path)).write.parquet(f"{tmp_path}/{k}")
+        now = spark.read.parquet(f"{tmp_path}/{k}")
+        assert now.columns == docs.columns
+        seen[name] = Counter((r.doc_id, r.text) for r in now.collect())
+    want = Counter(rows)
+    del want[(3, "12 34")]
+    assert seen["language_id"] == want
+    want[(1, a)] = 0  # the copy of 9 goes, and the other text of 1 stays
+    one_of = lambda found: [t for i, t in found.elements() if i is None and t.lower() == c]
+    assert len(one_of(seen["exact_dedup"])) == 1
+    other = one_of(want)
+    for t in other:
+        want[(None, t)] = 0
+    want[(None, one_of(seen["exact_dedup"])[0])] = 1
+    assert seen["exact_dedup"] == +want
+    named = [x for x in seen["ngram_join"] if x[0] == 9]
+    assert len(named) == 1 and named[0][1] in (a, near_a)
+    want[(9, a)] = want[(9, near_a)] = 0
+    want[named[0]] = 1
+    assert seen["ngram_join"] == +want
+    want[(5, passage + " " + e)] = 0
+    want[(5, e)] = 1
+    assert seen["substring_dedup"] == +want

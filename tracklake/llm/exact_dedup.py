@@ -35,16 +35,17 @@ def _split(rows: DataFrame, keys: list[str], width: int) -> DataFrame:
     return rows.join(groups.withColumn("closed", closed), [*keys, "digit"])
 
 
-def duplicates(docs: DataFrame, first_digit: int = FIRST_DIGIT, growth: int = GROWTH) -> DataFrame:
-    """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256.
+def duplicates(docs: DataFrame, first_digit: int = FIRST_DIGIT, growth: int = GROWTH, key: str | None = None) -> DataFrame:
+    """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256; and `key`, if a column is named.
 
     Texts are equal when identical after lower-casing A-Z; null text equals empty text. The row with
     the largest doc_id stays, and of rows that repeat that doc_id in one group just one. A null doc_id
     counts as smaller than any other, so keep_id is null only if the whole group has no ids. An empty
-    table gives no rows; other columns are ignored, whatever their names.
+    table gives no rows; other columns are ignored, whatever their names. A key is a whole number that tells a
+    row wherever docs is read again.
     """
     has_columns(docs, "doc_id", "text")
-    rows = docs.select(internal_id().alias("id"), F.monotonically_increasing_id().alias("row"), normalised(F.col("text")).alias("norm"))
+    rows = docs.select(internal_id().alias("id"), (F.col(key) if key else F.monotonically_increasing_id()).alias("row"), normalised(F.col("text")).alias("norm"))
     rows = rows.select("id", "row", F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256"), F.col("norm").cast("binary").alias("rest"))
     done, keys, width = [], [], first_digit
     answer = ["id", "row", "best", "size", "text_sha256"]
@@ -69,6 +70,7 @@ def duplicates(docs: DataFrame, first_digit: int = FIRST_DIGIT, growth: int = GR
         F.col("size").alias("group_size"),
         ((F.col("id") == keep) & (F.col("row") == F.col("best.row"))).alias("kept"),
         "text_sha256",
+        *([F.col("row").alias(key)] if key else []),
     )
 
 

@@ -26,6 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import batch, has_columns
 
@@ -259,8 +260,8 @@ def held_out(doc_id):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
 
 
-def identify(docs: DataFrame, model: Model | None = None, vocabulary: str | None = None) -> DataFrame:
-    """One row per row of docs: doc_id, held_out, lang_pred, score.
+def identify(docs: DataFrame, model: Model | None = None, vocabulary: str | None = None, carry: bool = False) -> DataFrame:
+    """One row per row of docs: doc_id, held_out, lang_pred, score; with carry also the row itself, a struct `carried`.
 
     lang_pred is a language of the training rows, or `und` with score 0 if the text is null or has no
     letter (or if nothing was learned). The score is the posterior probability of lang_pred. An empty
@@ -277,7 +278,9 @@ def identify(docs: DataFrame, model: Model | None = None, vocabulary: str | None
             for a in range(0, len(b), 64):
                 part = b.slice(a, 64)
                 found = own.predict(part.column(2).to_pylist())
-                yield batch(_RESULT_ARROW, part.column(0), part.column(1), [x for x, _ in found], [y for _, y in found])
+                schema = _RESULT_ARROW if not carry else _RESULT_ARROW.append(pa.field("carried", part.column(3).type))
+                yield batch(schema, part.column(0), part.column(1), [x for x, _ in found], [y for _, y in found], *part.columns[3:])
 
-    rows = docs.select(F.col("doc_id").cast("long"), held_out(F.col("doc_id")).alias("held_out"), "text")
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    rows = docs.select(F.col("doc_id").cast("long"), held_out(F.col("doc_id")).alias("held_out"), "text", *([F.struct(*(docs[c] for c in docs.columns)).alias("carried")] if carry else []))
+    schema = StructType.fromDDL("doc_id long, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(run, StructType([*schema, *rows.schema[3:]]))

@@ -86,7 +86,9 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for first, members, at in shingle_sets(b.column(1)):
             x, y = _sums(members, at)
-            yield batch(_SETS_ARROW, b.column(0).slice(first, len(at) - 1), np.diff(at), x.view(np.int64), y.view(np.int64))
+            rest = [c.slice(first, len(at) - 1) for c in b.columns[2:]]
+            schema = _SETS_ARROW.append(pa.field("row", pa.int64())) if rest else _SETS_ARROW
+            yield batch(schema, b.column(0).slice(first, len(at) - 1), np.diff(at), x.view(np.int64), y.view(np.int64), *rest)
 
 
 def _distinct_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -345,19 +347,21 @@ def _dealt_to_tiles(classes: DataFrame) -> DataFrame:
     return rows.select("node", "n", "root", "tile.*")
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
-    """One row per row of docs: doc_id, n_shingles, component_id.
+def near_groups(docs: DataFrame, key: str | None = None) -> DataFrame:
+    """One row per row of docs: doc_id, n_shingles, component_id; and `key` and kept, if a key column is named.
 
     Words are compared after lower-casing A-Z. Null or wordless text has an empty set and is linked with
     nothing, not even another empty one. A null doc_id counts as smaller than any other, so the
     component_id of a group that holds one is null. Rows that repeat a doc_id are linked like any others.
-    An empty table gives no rows; other columns are ignored.
+    An empty table gives no rows; other columns are ignored. A key is a whole number that tells a row wherever
+    docs is read again; kept is true for one row of each group, that of the smallest (doc_id, key).
     """
     has_columns(docs, "doc_id", "text")
     spark = docs.sparkSession
-    rows = docs.select(internal_id().alias("id"), "text")
-    sets = cut(rows.mapInArrow(_describe, _SETS))
-    classes = sets.where("n_shingles > 0").groupBy("a", "b", F.col("n_shingles").alias("n")).agg(F.min("id").alias("least"))
+    rows = docs.select(internal_id().alias("id"), "text", *([F.col(key).cast("long").alias("row")] if key else []))
+    own, told = (F.struct("id", "row"), "row") if key else (F.col("id"), "id")  # what names a row
+    sets = cut(rows.mapInArrow(_describe, _SETS + ", row long" * bool(key)))
+    classes = sets.where("n_shingles > 0").groupBy("a", "b", F.col("n_shingles").alias("n")).agg(F.min(own).alias("least"))
     classes = cut(classes.select(F.col("a").alias("node"), "n", "least"))
 
     counts = rows.mapInArrow(_frequent, "member long, times long").groupBy("member").agg(F.sum("times").alias("times"))
@@ -373,8 +377,8 @@ def near_groups(docs: DataFrame) -> DataFrame:
     alike = components(_links(cut(classes.join(pieces, "node")), bitmaps, exact=False))
 
     work = cut(classes.join(alike, "node"))
-    wanted = work.select(F.col("least").alias("id")).distinct()
-    members = rows.join(wanted, "id", "left_semi").select("id", "text").mapInArrow(_members, "node long, members binary")
+    wanted = work.select(F.col("least.row" if key else "least").alias(told)).distinct()
+    members = rows.join(wanted, told, "left_semi").select("id", "text").mapInArrow(_members, "node long, members binary")
     links = _links(work, members, exact=True)
 
     joined = components(links)
@@ -382,7 +386,10 @@ def near_groups(docs: DataFrame) -> DataFrame:
     smallest = grouped.groupBy("root").agg(F.min("least").alias("component"))
     by_class = grouped.join(smallest, "root").select(F.col("node").alias("a"), F.col("n").alias("n_shingles"), "component")
     out = sets.join(by_class, ["a", "n_shingles"], "left")
-    return out.select(external_id(F.col("id")).alias("doc_id"), "n_shingles", external_id(F.coalesce("component", "id")).alias("component_id"))
+    component = F.coalesce("component", own)
+    least = component["id"] if key else component
+    more = [F.col("row").alias(key), (F.col("row") == component["row"]).alias("kept")] if key else []
+    return out.select(external_id(F.col("id")).alias("doc_id"), "n_shingles", external_id(least).alias("component_id"), *more)
 
 
 ORACLE = r"""

@@ -22,6 +22,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import NO_ID, batch, byte_array, concat_ranges, has_columns, hash_runs, hash_spans, internal_id, partitions, slices, words
 
@@ -62,7 +63,7 @@ class Chunk:
     Documents are ordered by (id, text), so the same rows give the same numbers each time.
     """
 
-    def __init__(self, ids: np.ndarray, texts: pa.Array):
+    def __init__(self, ids: np.ndarray, texts: pa.Array, carried: pa.Array | None = None):
         data, offsets = byte_array(texts)
         order = sorted(range(len(ids)), key=lambda i: (ids[i], data[offsets[i] : offsets[i + 1]].tobytes()))
         self.order = np.array(order, np.int64)
@@ -70,6 +71,7 @@ class Chunk:
         self.data = data[concat_ranges(offsets[self.order], lengths)] if len(order) else data
         self.offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
         self.ids = np.asarray(ids, np.int64)[self.order]
+        self.carried = carried.take(pa.array(self.order)) if carried is not None else None
         starts, ends, first = [], [], [np.zeros(1, np.int64)]
         spans = ([], [], [], [], [])  # hash, bucket hash, first word, number of words, document
         base = 0
@@ -201,7 +203,12 @@ class Chunk:
             texts.append(text[:-1].tobytes() if len(own) else b"")
         ids = pa.array(self.ids, pa.int64(), mask=self.ids == NO_ID)
         shas = [hashlib.sha256(t).hexdigest() for t in texts]
-        return pa.Table.from_arrays([ids, pa.array(total), pa.array(lost), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(shas)], schema=_RESULT_ARROW)
+        columns, schema = [ids, pa.array(total), pa.array(lost), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(shas)], _RESULT_ARROW
+        if self.carried is not None:
+            whole = [t if gone_words else self.data[a:b].tobytes() for t, gone_words, a, b in zip(texts, lost, self.offsets[:-1], self.offsets[1:], strict=True)]
+            columns += [pa.array(whole, pa.binary()).cast(pa.string()), self.carried]
+            schema = schema.append(pa.field("new_text", pa.string())).append(pa.field("carried", self.carried.type))
+        return pa.Table.from_arrays(columns, schema=schema)
 
 
 _SPACES = bytes.maketrans(b"\t\n\v\f\r", b"     ")
@@ -212,7 +219,7 @@ def _SQUEEZE(text: bytes) -> bytes:  # noqa: N802
 
 
 def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packs rows (chunk, id, text) of one chunk that come in one batch."""
+    """Packs rows (chunk, id, text, and what is carried) of one chunk that come in one batch."""
     for b in batches:
         chunk, ids = b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)
         data, offsets = byte_array(b.column(2))
@@ -222,15 +229,27 @@ def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(own):
                 n = offsets[own + 1] - offsets[own]
                 numbers.append(int(chunk[own[0]]))
-                packed.append(_packed(ids[own], n, data[concat_ranges(offsets[own], n)]))
+                packed.append(_packed(ids[own], n, data[concat_ranges(offsets[own], n)], _written([c.take(pa.array(own)) for c in b.columns[3:]])))
         yield batch(_DEALT_ARROW, numbers, packed)
 
 
+def _written(columns: list[pa.Array]) -> np.ndarray:
+    """Columns as the bytes of an Arrow stream; none: no bytes."""
+    if not columns:
+        return np.zeros(0, np.uint8)
+    sink = pa.BufferOutputStream()
+    own = pa.RecordBatch.from_arrays(columns, [str(k) for k in range(len(columns))])
+    with pa.ipc.new_stream(sink, own.schema) as stream:
+        stream.write_batch(own)
+    return np.frombuffer(sink.getvalue(), np.uint8)
+
+
 def _chunk(packed: list[bytes]) -> Chunk:
-    parts = [_unpacked(x, np.int64, np.int64, np.uint8) for x in packed]
+    parts = [_unpacked(x, np.int64, np.int64, np.uint8, np.uint8) for x in packed]
+    carried = [pa.ipc.open_stream(pa.py_buffer(p[3])).read_all().column(0).combine_chunks() for p in parts if len(p[3])]
     ids, n, data = (np.concatenate([p[k] for p in parts]) for k in range(3))
     offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
-    return Chunk(ids, pa.Array.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(data)]))
+    return Chunk(ids, pa.Array.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(data)]), pa.concat_arrays(carried) if carried else None)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Chunk]]:
@@ -313,13 +332,16 @@ def _cut_chunk(answers: pa.Table, docs: pa.Table) -> pa.Table:
     return chunk.kept(chunk.removed(*told))
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, carry: bool = False) -> DataFrame:
     """One row per row of docs: doc_id, n_words, n_removed, kept_text, kept_sha256.
 
     A word goes if a window that covers it also starts in a document with a smaller doc_id. A null doc_id
     counts as smaller than any other, so such rows lose nothing; neither do rows that repeat a doc_id
     to each other. Null text has no words; a text of fewer than 13 words has no window; an empty table
     gives no rows; other columns are ignored.
+
+    With carry also new_text, which is the text itself where nothing goes, and the struct `carried`: the
+    struct `row` of the other columns, and whether the text is null (`no_text`).
     """
     has_columns(docs, "doc_id", "text")
     spark = docs.sparkSession
@@ -327,12 +349,18 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     buckets = BUCKETS_PER_PARTITION * partitions(spark)
     chunks = max(partitions(spark), -(-size // CHUNK_BYTES))
     rows = docs.select(internal_id().alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.select(F.pmod(F.xxhash64("id"), F.lit(chunks)).alias("chunk"), "id", "text")
+    if carry:
+        others = F.struct(*(docs[c] for c in docs.columns if c != "text"))
+        rows = docs.select(internal_id().alias("id"), F.coalesce("text", F.lit("")).alias("text"), F.struct(others.alias("row"), docs["text"].isNull().alias("no_text")).alias("carried"))
+    # Rows that share one id, or have none, are spread by their texts there.
+    place = F.xxhash64("id", "text") if carry else F.xxhash64("id")
+    rows = rows.select(F.pmod(place, F.lit(chunks)).alias("chunk"), *rows.columns)
     # One exchange serves both passes over the chunks.
     dealt = rows.mapInArrow(_deal, "chunk long, docs binary").repartition("chunk")
     sent = dealt.sortWithinPartitions("chunk").mapInArrow(_send(buckets), _SENT)
+    schema = StructType([*StructType.fromDDL(_RESULT + ", new_text string" * carry), *rows.schema[3:]])
     answers = sent.groupBy("bucket").applyInArrow(_window_minima, _ANSWER)
-    return answers.groupBy("chunk").cogroup(dealt.groupBy("chunk")).applyInArrow(_cut_chunk, _RESULT)
+    return answers.groupBy("chunk").cogroup(dealt.groupBy("chunk")).applyInArrow(_cut_chunk, schema)
 
 
 ORACLE = r"""
