@@ -63,6 +63,23 @@ def test_search(spark, monkeypatch, block, group):
     assert topk_search.top_k(df.where("vec_id in (50, 51)")).count() == 1
 
 
+def test_search_takes_every_finite_vector(spark):
+    """Components of any finite size, and sums that leave 64 bits, against whole numbers."""
+    rng = np.random.default_rng(2)
+    rows = [(i, (rng.standard_normal(64) * 10.0 ** rng.choice([0, 4, 5])).tolist()) for i in range(300)]
+    rows += [(300 + i, [s * 30000.0 / 256] * 64) for i, s in enumerate((1, -1, 1))]
+    rows += [(320 + i, [float(s) * 30000] * 64) for i, s in enumerate((1, -1, 1))]
+    rows += [(400, [2.0**18] * 64), (401, [-1e9] * 64), (450, [1e300, -1e300] * 32), (451, [1.7e308] + [0.0] * 63), (452, [-1.7e308] * 64), (7, [5e4] * 64), (150, [-3e4] * 64)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    whole = [(i, [math.floor(256 * x) if abs(x) < 1e300 else 256 * int(x) for x in v]) for i, v in rows]
+    found = {}
+    for q, v in whole:
+        if q % 50 == 0:
+            found.setdefault(q, []).extend((-sum(a * b for a, b in zip(v, o, strict=True)), i) for i, o in whole if i != q)
+    want = [(q, k + 1, i, -s if abs(s) < 2**63 else None) for q, scores in found.items() for k, (s, i) in enumerate(sorted(scores)[:5])]
+    assert collected(topk_search.top_k(df), "query_id", "rank", "vec_id", "score") == sorted(want, key=repr)
+
+
 def test_forward_sums_all_segmentations():
     """Against the sum over every way to cut a word."""
     import public_tokenizers

@@ -1,6 +1,6 @@
 """Exact top-k inner-product search with an impact-ordered, score-at-a-time index.
 
-Vectors are integers. A block of rows is indexed by (dimension, quantised impact): component v is
+Vectors are scaled to integers. A block of rows is indexed by (dimension, quantised impact): component v is
 STEP * level + rest with |rest| <= STEP / 2, and the posting segment of a level lists the rows that have
 it. A query visits segments in descending |query component| * |STEP * level| and adds each impact to its
 rows' scores. What is still unvisited bounds how far any score can move; the visit stops only when
@@ -14,7 +14,7 @@ hands on k rows per query, which a window with a group limit reduces to k.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +25,10 @@ from .common import has_columns
 
 STEP = 16
 BLOCK_ROWS, QUERY_ROWS = 32768, 512
-#: Components from here on are left out: 64 products of two such would still fit 64 bits.
-LARGEST = 2.0**18
+#: No finite component is too large. Rows and queries with one of INDEXED and more are scored by whole numbers of any size.
+LARGEST, INDEXED = math.inf, 2.0**18
+#: Scores and bounds of the index fit 64 bits, the count of dimensions included, while no sum can reach this.
+PACKED = 2.0**50
 #: After these shares of the segments the bounds are tried; visiting ends once at most RESCORE_SHARE of
 #: the block could be a member.
 VISITS = (0.6, 0.75, 1.0)
@@ -34,8 +36,9 @@ RESCORE_SHARE = 0.2
 #: Place of the count of visited dimensions in a packed score.
 SHIFT_BITS = 12
 SHIFT = 1 << SHIFT_BITS
-_SCHEMA = "query_id long, vec_id long, score long"
-_ARROW = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+#: A score that leaves 64 bits is null; size (its bytes, with its sign) and digits then tell its place.
+_SCHEMA = "query_id long, vec_id long, score long, size int, digits binary"
+_ARROW = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()), ("size", pa.int32()), ("digits", pa.binary())])
 
 
 class BlockIndex:
@@ -67,7 +70,7 @@ class BlockIndex:
         impact = query[self.dim] * self.level * self.step
         order = np.argsort(-np.abs(impact), kind="stable")
         left = np.abs(impact)[order]
-        rests = min(int(np.abs(query).sum()) * (self.step // 2), int(np.sqrt(float(query @ query)) * self.rest_norm) + 1)
+        rests = min(int(np.abs(query).sum()) * (self.step // 2), int(np.linalg.norm(query.astype(float)) * self.rest_norm * (1 + 1e-9)) + 1)
         packed = impact * SHIFT + 1
         total = np.zeros(len(self.vectors), np.int64)
         stops = [int(len(order) * share) for share in VISITS]
@@ -87,15 +90,32 @@ class BlockIndex:
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    """Rows of integer lists as one matrix; shorter rows are padded with zeros."""
+    """Rows of lists as one matrix; shorter rows are padded with zeros."""
     own = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     lengths = np.diff(own.offsets.to_numpy())
-    out = np.zeros((len(lengths), int(lengths.max(initial=0))), np.int64)
+    out = np.zeros((len(lengths), int(lengths.max(initial=0))))
     flat = own.flatten().to_numpy(zero_copy_only=False)
     out[np.arange(out.shape[1]) < lengths[:, None]] = flat
     return out
 
 
+def _whole(x: np.ndarray) -> np.ndarray:
+    """floor(256 * x) of any finite x, as Python integers."""
+    out = np.empty(x.shape, object)
+    for at, v in np.ndenumerate(x):
+        out[at] = math.floor(256.0 * v) if abs(v) < 2.0**1000 else 256 * int(v)
+    return out
+
+
+def _place(score: int) -> tuple[int | None, int, bytes | None]:
+    """score, size and digits: scores are in order of (size, digits, score)."""
+    if -(1 << 63) <= score < 1 << 63:
+        return score, 0, None
+    size = (score.bit_length() + 7) // 8
+    digits = (score if score > 0 else (1 << 8 * size) + score).to_bytes(size, "big")
+    return None, size if score > 0 else -size, digits
+
+
 def _searcher(k: int):
     def run(queries: pa.Table, rows: pa.Table) -> pa.Table:
         ids, wanted = rows["vec_id"].to_numpy(), queries["vec_id"].to_numpy()
@@ -104,24 +124,39 @@ def _searcher(k: int):
         block, asked = _matrix(rows["vector"]), _matrix(queries["vector"])
         width = max(block.shape[1], asked.shape[1])
         block, asked = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (block, asked))
-        index = BlockIndex(block)
+        usual = (np.abs(block) < INDEXED).all(axis=1)
+        wide, wide_ids = _whole(block[~usual]), ids[~usual]
+        block, ids = np.floor(256.0 * block[usual]).astype(np.int64), ids[usual]
+        index = BlockIndex(block) if len(ids) else None
+        peak = np.abs(block).max(axis=0, initial=0).astype(float) + STEP
         out = []
-        for query, vector in zip(wanted, asked, strict=True):
-            found, score = index.search(vector, k, ids != query)
-            best = np.lexsort((ids[found], -score))[:k]
-            out.append((np.full(len(best), query), ids[found][best], score[best]))
-        return pa.Table.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], schema=_ARROW)
+        for query, vector in zip(wanted.tolist(), asked, strict=True):
+            reach = float(np.abs(256.0 * vector) @ peak) + peak.sum() if (np.abs(vector) < INDEXED).all() else math.inf
+            if index is None:
+                found, score = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            elif reach < PACKED and width < SHIFT:
+                found, score = index.search(np.floor(256.0 * vector).astype(np.int64), k, ids != query)
+            else:
+                found = np.flatnonzero(ids != query)
+                score = block[found] @ np.floor(256.0 * vector).astype(np.int64) if reach < 2.0**62 else block[found].astype(object) @ _whole(vector)
+            best = np.lexsort((ids[found], -score))[:k] if score.dtype != object else sorted(range(len(found)), key=lambda i: (-score[i], ids[found[i]]))[:k]
+            own = [(int(score[i]), int(ids[found[i]])) for i in best]
+            if len(wide_ids):
+                other = np.flatnonzero(wide_ids != query)
+                own += zip((wide[other] @ _whole(vector)).tolist(), wide_ids[other].tolist(), strict=True)
+                own = sorted(own, key=lambda x: (-x[0], x[1]))[:k]
+            out += [(query, found_id, *_place(value)) for value, found_id in own]
+        return pa.Table.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), _ARROW, strict=True)], schema=_ARROW) if out else _ARROW.empty_table()
 
     return run
 
 
-def integer_vectors(embeddings: DataFrame) -> DataFrame:
-    """vec_id and floor(256 * x) of each component, for the rows that take part, one for each vec_id."""
-    scaled = F.transform("embedding", lambda x: F.floor(F.lit(256.0) * x.cast("double")))
-    # A null, NaN or infinite component fails the test, and so does one whose scores might leave 64 bits.
+def finite_vectors(embeddings: DataFrame) -> DataFrame:
+    """vec_id and the components, for the rows that take part; equal rows once."""
+    # A null, NaN or infinite component fails the test.
     usable = F.forall("embedding", lambda x: F.coalesce(F.abs(x.cast("double")) < LARGEST, F.lit(False)))
     rows = embeddings.where("vec_id is not null and embedding is not null").where(usable)
-    return rows.select(F.col("vec_id").cast("long"), scaled.cast("array<long>").alias("vector")).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    return rows.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("vector")).distinct()
 
 
 def top_k(embeddings: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
@@ -129,21 +164,21 @@ def top_k(embeddings: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
 
     query_id, rank from 1, vec_id, score; fewer than k where there are fewer rows; ties go to the
     smaller vec_id; a query is no answer to itself. Rows without vec_id, and vectors that are null or
-    hold a null or non-finite component (or one of 2**18 and more), take no part. Of rows that repeat a
-    vec_id the one with the smallest vector counts. Shorter vectors are as if padded with zeros. An
-    empty table gives no rows; other columns are ignored.
+    hold a null or non-finite component, take no part. Rows that repeat a vec_id with another vector each take
+    part, but are no answer to one another; equal rows are one. Shorter vectors are as if padded with zeros. Ranks are by the exact score; one that
+    leaves 64 bits is null in the result. An empty table gives no rows; other columns are ignored.
     """
     has_columns(embeddings, "vec_id", "embedding")
-    vectors = integer_vectors(embeddings)
+    vectors = finite_vectors(embeddings)
     n, asked = vectors.agg(F.count(F.lit(1)), F.count_if(F.col("vec_id") % every == 0)).first()
     blocks, groups = max(1, -(-n // BLOCK_ROWS)), max(1, -(-asked // QUERY_ROWS))
-    dealt = F.xxhash64("vec_id")
+    dealt = F.xxhash64("vec_id", "vector")
     rows = vectors.select("vec_id", "vector", F.pmod(dealt, F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
     queries = vectors.where(F.col("vec_id") % every == 0).select(
         "vec_id", "vector", F.pmod(dealt, F.lit(groups)).cast("int").alias("group"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block")
     )
     found = queries.groupBy("block", "group").cogroup(rows.groupBy("block", "group")).applyInArrow(_searcher(k), _SCHEMA)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query_id").orderBy(F.desc("size"), F.desc("digits"), F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
