@@ -109,6 +109,48 @@ def test_forward_sums_all_segmentations():
             assert math.isclose(alpha[language, 0, len(part)], math.log(ways(0, language)), rel_tol=1e-9)
 
 
+def _plain_forward(part, log_p, known, longest):
+    """Place by place in logarithms, each word for itself."""
+    alpha = np.full((len(log_p), len(part) + 1), -np.inf)
+    alpha[:, 0] = 0.0
+    for end in range(1, len(part) + 1):
+        ways = []
+        for k in range(1, min(longest, end) + 1):
+            number = known.get(part[end - k : end], -1)
+            if number >= 0:
+                ways.append(alpha[:, end - k] + log_p[:, number])
+            elif k == 1:
+                ways.append(alpha[:, end - 1] + language_id.UNKNOWN)
+        alpha[:, end] = np.logaddexp.reduce(ways, axis=0)
+    return alpha
+
+
+@pytest.mark.parametrize("places", [1 << 16, 40])
+def test_words_of_any_length_are_scored_whole(monkeypatch, places):
+    """Many words at once, long ones in blocks, forwards and backwards, against one word at a time."""
+    import public_tokenizers
+
+    monkeypatch.setattr(language_id, "PLACES", places)
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    known, longest = language_id.pieces(path)
+    rng = np.random.default_rng(3)
+    log_p = np.concatenate([np.log(rng.random((3, len(known))) * 1e-5), np.full((3, 1), language_id.UNKNOWN)], axis=1)
+    words = ["a", "house", "geschwindigkeit" * 9, "日本語" * 40, "nai\u0308ve", "ünterthe" * 100, "the" * 300]
+    model = language_id.Model(["x", "y", "z"], log_p, path)
+    model.word_scores(words)
+    for word in words:
+        want = _plain_forward(" " + word, log_p, known, longest)[:, -1]
+        assert np.allclose(model.scores[model.place[word]], want, rtol=1e-9)
+    forth, back = (language_id.Lattice([" " + w for w in words], path, backward=b) for b in (False, True))
+    whole = np.arange(len(words)), forth.lengths
+    assert np.allclose(language_id.forward(forth, log_p)[:, *whole], language_id.forward(back, log_p)[:, *whole], rtol=1e-9)
+
+
+def test_words_hold_marks_and_letters_only():
+    assert language_id.words_of("Hindi: हिन्दी 2²x cafe\u0301 a_b \u0301q") == ["hindi", "हिन्दी", "²x", "café", "a", "b", "q"]
+    assert language_id.words_of(" \t12 _ ...") == []
+
+
 def test_language(spark):
     rng = random.Random(1)
     voc = {"en": "the of and to in is that with over house water time people".split(), "de": "der die und das nicht mit über haus wasser zeit leute schön".split(), "fr": "le la les et dans avec une maison eau temps gens été".split()}
