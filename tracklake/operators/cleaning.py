@@ -24,7 +24,7 @@ def confident_series(trajectories: DataFrame, series: Sequence[str], confidence:
     zipped = F.arrays_zip(*[F.slice(F.col(c), F.lit(1), shortest).alias(c) for c in dict.fromkeys((*series, confidence))])
     kept = F.filter(zipped, lambda s: s[confidence] >= least)
     rows = trajectories.withColumn("_kept", kept).where(F.size("_kept") >= min_samples)
-    return rows.withColumns({c: F.transform("_kept", lambda s, c=c: s[c]) for c in dict.fromkeys((*series, confidence))}).drop("_kept")
+    return rows.withColumns({c: F.col("_kept")[c] for c in dict.fromkeys((*series, confidence))}).drop("_kept")
 
 
 def long_enough(points: DataFrame, x: str, more_than: int = 3, key: str = "fragment_id") -> DataFrame:
