@@ -49,6 +49,70 @@ def test_codecs_on_any_text(library, text):
     assert list(vocab.byte_bpe(BYTE)(text)) == library[BYTE].encode(text, add_special_tokens=False).ids
 
 
+WIDE = ["the", "Straße", "ΟΔΥΣΣΕΥΣ", "привет", "Мир", "日本語", "한국어", "हिन्दी", "🙂", "👍🏽", "e\u0301", "\u0301", "\u180e", "\u200b", "\u2003", "\u3000", "\x1c", "\x1f", "\x85", "<|endoftext|>", "'s", "'LL", "Ⅷ", "½", "१२", "\u10a0", "\u13a0", "İ", "\U0001e900", "ﬁ", " ", "\n", "x" * 60, "-", "漢" * 30]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(WIDE), max_size=12).map("".join), st.text(max_size=30))
+def test_word_codec_on_every_script(library, mixed, any_text):
+    codec = word_codec.Codec(word_codec.compile_lexicon({w: word_codec.Merger(WORD).merge(w) for w in ("the", "мир", "語")}), WORD)
+    for text, (n, ids, decoded) in zip([mixed, any_text], codec.encode([mixed, any_text]), strict=True):
+        e = library[WORD].encode(text, add_special_tokens=False).ids
+        assert (n, ids) == (len(e), " ".join(map(str, e))) and decoded == library[WORD].decode(e, skip_special_tokens=False)
+
+
+def test_only_doubtful_segments_are_left_to_the_library(monkeypatch):
+    codec = word_codec.Codec(word_codec.compile_lexicon({"the": word_codec.Merger(WORD).merge("the")}), WORD)
+    left = []
+    exact = codec.exact
+
+    class Watched:
+        def encode(self, text, **more):
+            left.append(text)
+            return exact.encode(text, **more)
+
+        def decode(self, ids, **more):
+            return exact.decode(ids, **more)
+
+    codec.exact = Watched()
+    list(codec.encode(["Привет мир, the 日本語 text <|endoftext|> one\u200btwo Ελλάς"]))
+    assert left == ["<|endoftext|>", "one\u200btwo"]
+
+
+@pytest.mark.parametrize("heaped", [0, 48, 10**9])
+def test_merging_by_list_and_by_heap(library, monkeypatch, heaped):
+    rng = random.Random(heaped)
+    monkeypatch.setattr(word_codec, "HEAPED", heaped)
+    merger = word_codec.Merger(WORD)
+    for n in (1, 2, 3, 10, 200):
+        for alphabet in ("ab", "etaoinshr", "aééä漢"):
+            word = "".join(rng.choice(alphabet) for _ in range(n))
+            assert merger.merge(word) == library[WORD].encode(word, add_special_tokens=False).ids
+
+
+def test_a_very_long_word(library):
+    """200,000 letters without white space, in time that hardly grows faster than the word."""
+    rng = random.Random(1)
+    word = "".join(rng.choice("etaoinshrdlu") for _ in range(200_000))
+    codec = word_codec.Codec(word_codec.compile_lexicon({}), WORD)
+    n, ids, _ = next(codec.encode([word]))
+    assert ids == " ".join(map(str, library[WORD].encode(word, add_special_tokens=False).ids))
+
+
+def test_the_lexicon_is_mapped(spark, tmp_path):
+    """What is distributed is the block, byte for byte, and it is searched where it is mapped."""
+    import mmap
+
+    from pyspark import SparkFiles
+
+    block = word_codec.compile_lexicon({"tap": [1], "top": [2, 3]})
+    with open(SparkFiles.get(word_codec.distribute(spark, block)), "rb") as f:
+        mapped = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
+    lexicon = word_codec.Lexicon(mapped)
+    assert bytes(mapped) == block and [lexicon.ids(n) for n in lexicon.numbers(["top", "tap"])] == [[2, 3], [1]]
+    assert not any(a.flags.owndata for a in (lexicon.arc, lexicon.target, lexicon.skip, lexicon.outputs))
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.sets(st.text(alphabet="abcé", min_size=1, max_size=6), max_size=40), st.lists(st.text(alphabet="abcé", max_size=7), max_size=20))
 def test_automaton(entries, asked):

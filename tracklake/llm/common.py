@@ -80,6 +80,12 @@ def slices(offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int,
         a = b
 
 
+def text_slices(texts: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Row ranges [a, b) of a string column of about `most` bytes each, one row at least."""
+    at = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)])
+    yield from slices(at, most)
+
+
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)

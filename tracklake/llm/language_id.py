@@ -29,13 +29,12 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import batch, has_columns
+from .common import batch, has_columns, text_slices
 
 UNDETERMINED = "und"
 #: Added to every expected piece count of a language.
@@ -47,8 +46,6 @@ RESCALED, LEAST = 12, -22.0
 #: Places (words times their length) that one lattice holds; a longer word goes through it in blocks.
 PLACES = 1 << 16
 CACHED_WORDS, COUNTED_WORDS = 400_000, 200_000
-#: Characters of text whose words are looked up together.
-SLICE_CHARS = 1 << 20
 #: The bound on the sample that the model is fitted on: documents of each language, as expected over ids.
 TRAINING_DOCS = 4000
 #: Documents whose crc32 is 0 modulo this are held out of training.
@@ -299,16 +296,6 @@ class Model:
         return out
 
 
-def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Row ranges of about SLICE_CHARS each, one row at least."""
-    at = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
-    a = 0
-    while a < len(texts):
-        b = max(a + 1, int(np.searchsorted(at, (at[a - 1] if a else 0) + SLICE_CHARS, "right")))
-        yield a, b
-        a = b
-
-
 def train(docs: DataFrame, vocabulary: str, most: int = TRAINING_DOCS) -> Model:
     """From text and non-null lang of documents that are not held out, about `most` of each language."""
     labelled = ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull()
@@ -352,7 +339,7 @@ def identify(docs: DataFrame, model: Model | None = None, vocabulary: str | None
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(languages, log_p.astype(np.float64), vocabulary)
         for b in batches:
-            for start, stop in _slices(b.column(2)):
+            for start, stop in text_slices(b.column(2)):
                 part = b.slice(start, stop - start)
                 found = own.predict(part.column(2).to_pylist())
                 schema = _RESULT_ARROW if not carry else _RESULT_ARROW.append(pa.field("carried", part.column(3).type))

@@ -2,21 +2,28 @@
 
 The frequent words of the corpus are compiled, with their ids as outputs, into a minimal automaton:
 words share prefixes and suffixes, and each arc knows how many words it skips, so the path of a word adds
-up to its number, which points to its ids. The automaton is a few flat arrays in one block of bytes that
-each worker maps into memory. Words that are not in it are merged exactly, pair by pair in order of rank.
-
-Texts are normalised and split as the vocabulary file prescribes. Texts that hold a special token's string,
-or characters on which Unicode versions may differ, are left to the library as a whole.
+up to its number, which points to its ids. The automaton is a few flat arrays in one file in the shared folder,
+which Spark brings to every executor once and each worker maps into memory, read-only. Words that are not in it
+are merged exactly, pair by pair in order of rank.
+
+No token spans white space, so a text is a row of segments between white space, and a segment is worked out
+once for a worker's memory of segments. Segments are normalised and split into words as the vocabulary file
+prescribes. Only a segment that holds a special token's string, or a character whose class may differ from one
+Unicode version to another, is left to the library; the rest of its text is not.
 """
 
 from __future__ import annotations
 
 import functools
 import hashlib
+import heapq
+import itertools
 import json
 import mmap
 import re
+import sys
 import unicodedata
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -24,24 +31,44 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch, has_columns
-from .vocab import PLAIN, library
+from .common import batch, has_columns, shared_dir, text_slices
+from .vocab import library
 
 #: Words in the lexicon; bounds what is sent to each worker.
 LEXICON_WORDS = 32_768
 #: Words longer than this are never compiled.
 LONGEST_WORD = 48
-COUNTED_WORDS, CACHED_WORDS = 300_000, 300_000
+COUNTED_SEGMENTS = 300_000
+#: Segments and words a worker remembers, and the characters of them.
+CACHED_SEGMENTS, CACHED_CHARS = 400_000, 8_000_000
+#: Pieces of a word above which the next pair is found by a heap; the result is the same.
+HEAPED = 48
 END = "</w>"
-#: White space among the characters of PLAIN.
-_SPACE = re.compile("[\t-\r \x85\xa0]+")
+_NONE = 1 << 62
 
 _COUNTS_ARROW = pa.schema([("word", pa.string()), ("times", pa.int64())])
 _RESULT_ARROW = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
+#: White space, as the vocabulary's normaliser has it; str.split also takes U+001C to U+001F for it.
+_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+_NO_SPACE = "\x1c\x1d\x1e\x1f"
+
+
+def _sure_characters() -> str:
+    """Characters that the oldest Unicode data at hand put into their present class, as ranges: no version in between
+    can see them otherwise. U+001C to U+001F are left out, on which engines differ as to white space."""
+    old = unicodedata.ucd_3_2_0
+    sure = lambda c: c not in range(0x1C, 0x20) and old.category(chr(c)) == unicodedata.category(chr(c)) not in ("Cn", "Cs", "Co")
+    spans = (list(chars) for inside, chars in itertools.groupby(range(sys.maxunicode + 1), sure) if inside)
+    return "".join(f"\\U{c[0]:08x}-\\U{c[-1]:08x}" for c in spans)
+
+
+_SURE = re.compile(f"[{_sure_characters()}]*")
+
 
 @functools.cache
 def byte_letters() -> list[str]:
@@ -52,52 +79,85 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in visible else chr(next(rest)) for b in range(256)]
 
 
+def segments(text: str) -> list[str]:
+    """What stands between white space."""
+    if any(c in text for c in _NO_SPACE):
+        return [s for s in _SPACE.split(text) if s]
+    return text.split()
+
+
 @functools.cache
 class Merger:
-    """Splits normalised texts into words and merges a word's letters exactly."""
+    """Splits segments into normalised words and merges a word's letters exactly."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.ids: dict[str, int] = spec["model"]["vocab"]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
-        self.rank = {pair: k for k, pair in enumerate(merges)}
+        #: left << 20 | right -> rank << 20 | merged: a smaller value is an earlier merge.
+        self.pair = {self.ids[a] << 20 | self.ids[b]: k << 20 | self.ids[a + b] for k, (a, b) in enumerate(merges)}
+        self.letter = [self.ids[x] for x in byte_letters()]
+        self.last = [self.ids[x + END] for x in byte_letters()]
         self.words = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
         self.tokens = {i: t for t, i in self.ids.items()}
         added = library(path).get_added_tokens_decoder()
         self.tokens |= {i: t.content for i, t in added.items()}
         self.special = [t.content for t in added.values()]
 
-    def plain(self, text: str) -> bool:
-        return PLAIN.fullmatch(text) is not None and not any(s in text for s in self.special)
+    def plain(self, segment: str) -> bool:
+        return (segment.isascii() and segment.isprintable() or _SURE.fullmatch(segment) is not None) and not any(s in segment for s in self.special)
 
-    def split(self, text: str) -> list[str]:
-        return self.words(_SPACE.sub(" ", unicodedata.normalize("NFC", text)).lower())
+    def split(self, segment: str) -> list[str]:
+        # A tokenizer lower-cases each character for itself: no sigma is final.
+        own = segment if segment.isascii() else unicodedata.normalize("NFC", segment).replace("Σ", "σ")
+        return self.words(own.lower())
 
     def merge(self, word: str) -> list[int]:
-        letters = byte_letters()
-        parts = [letters[b] for b in word.encode()]
-        parts[-1] += END
-        while len(parts) > 1:
-            ranks = [self.rank.get(pair, 1 << 60) for pair in zip(parts, parts[1:], strict=False)]
-            least = min(ranks)
-            if least == 1 << 60:
+        """The ids of a word: again and again its earliest pair is merged, the first of equals in front."""
+        raw = word.encode()
+        parts = [self.letter[b] for b in raw]
+        parts[-1] = self.last[raw[-1]]
+        if len(parts) > HEAPED:
+            return self._merge_by_heap(parts)
+        get = self.pair.get
+        pairs = [get(a << 20 | b, _NONE) for a, b in itertools.pairwise(parts)]
+        while pairs:
+            least = min(pairs)
+            if least == _NONE:
                 break
-            at, out = 0, []
-            pair = (parts[ranks.index(least)], parts[ranks.index(least) + 1])
-            while at < len(parts):
-                if at + 1 < len(parts) and (parts[at], parts[at + 1]) == pair:
-                    out.append(parts[at] + parts[at + 1])
-                    at += 2
-                else:
-                    out.append(parts[at])
-                    at += 1
-            parts = out
-        return [self.ids[p] for p in parts if p in self.ids]
+            i = pairs.index(least)
+            parts[i] = least & 0xFFFFF
+            del parts[i + 1], pairs[i]
+            if i < len(pairs):
+                pairs[i] = get(parts[i] << 20 | parts[i + 1], _NONE)
+            if i:
+                pairs[i - 1] = get(parts[i - 1] << 20 | parts[i], _NONE)
+        return parts
+
+    def _merge_by_heap(self, parts: list[int]) -> list[int]:
+        """The same for many pieces: a heap of (merge, place), and links over the pieces that are left."""
+        n, get = len(parts), self.pair.get
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(m, i) for i, (a, b) in enumerate(itertools.pairwise(parts)) if (m := get(a << 20 | b)) is not None]
+        heapq.heapify(heap)
+        while heap:
+            m, i = heapq.heappop(heap)
+            j = after[i]
+            if parts[i] < 0 or j == n or get(parts[i] << 20 | parts[j]) != m:
+                continue  # merged away meanwhile
+            parts[i], parts[j] = m & 0xFFFFF, -1
+            after[i] = after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            for a, b in ((before[i], i), (i, after[i])):
+                if a >= 0 and b < n and (m := get(parts[a] << 20 | parts[b])) is not None:
+                    heapq.heappush(heap, (m, a))
+        return [p for p in parts if p >= 0]
 
     def decode(self, ids: list[int]) -> str:
         """As a tokenizer without a decoder does: tokens joined by a space."""
-        return " ".join(self.tokens[i] for i in ids)
+        return " ".join([self.tokens[i] for i in ids])
 
 
 def compile_lexicon(entries: dict[str, list[int]]) -> bytes:
@@ -105,7 +165,7 @@ def compile_lexicon(entries: dict[str, list[int]]) -> bytes:
 
     Words are added in byte order; whenever a word leaves a branch for good, its states are replaced by
     equal ones seen before. States get numbers so that an arc's target is known by number; an arc holds
-    its byte, its target and how many words come before those behind it.
+    its state and byte, its target and how many words come before those behind it.
     """
     keys = sorted((w.encode(), ids) for w, ids in entries.items())
     register: dict[tuple, int] = {}
@@ -133,37 +193,32 @@ def compile_lexicon(entries: dict[str, list[int]]) -> bytes:
     close(1)
     states.append((path[0][0], tuple(path[0][1])))
     words_below: list[int] = []
-    first, label, target, skip = [0], [], [], []
-    for final, arcs in states:  # targets come before the states that point to them
+    arc, target, skip = [], [], []
+    for state, (final, arcs) in enumerate(states):  # targets come before the states that point to them
         n = int(final)
         for byte, to in arcs:
-            label.append(byte)
+            arc.append(state << 8 | byte)
             target.append(to)
             skip.append(n)
             n += words_below[to]
         words_below.append(n)
-        first.append(len(label))
     outputs = np.concatenate([np.zeros(0, np.int32), *(np.array(ids, np.int32) for _, ids in keys)]).astype(np.int32)
     offsets = np.concatenate([[0], np.cumsum([len(ids) for _, ids in keys])]).astype(np.int32)
-    arrays = [np.array(first, np.int32), np.array(target, np.int32), np.array(skip, np.int32), offsets, outputs, np.array([f for f, _ in states], np.uint8), np.array(label, np.uint8)]
+    arrays = [np.array(arc, np.int64), np.array(target, np.int32), np.array(skip, np.int32), offsets, outputs, np.array([f for f, _ in states], np.uint8)]
     return np.array([a.nbytes for a in arrays], np.int64).tobytes() + b"".join(a.tobytes() for a in arrays)
 
 
 class Lexicon:
-    """Looks many words up at once in a mapped automaton."""
-
-    def __init__(self, block: bytes):
-        self.map = mmap.mmap(-1, max(1, len(block)))
-        self.map.write(block)
-        sizes = np.frombuffer(self.map, np.int64, 7)
-        at, found = 56, []
-        for kind, size in zip([np.int32] * 5 + [np.uint8] * 2, sizes, strict=True):
-            found.append(np.frombuffer(self.map, kind, int(size) // np.dtype(kind).itemsize, at))
-            at += int(size)
-        self.first, self.target, self.skip, self.offsets, self.outputs, self.final, label = found
-        # (state, byte) of every arc in order, for a binary search over all arcs.
-        state = np.repeat(np.arange(len(self.final)), np.diff(self.first))
-        self.arc = state * 256 + label
+    """Looks many words up at once in an automaton, where it lies: in mapped memory, or any other bytes."""
+
+    def __init__(self, block: bytes | mmap.mmap):
+        sizes = np.frombuffer(block, np.int64, 6)
+        at, found = 48, []
+        for kind, size in zip([np.int64, *[np.int32] * 4, np.uint8], sizes.tolist(), strict=True):
+            found.append(np.frombuffer(block, kind, size // np.dtype(kind).itemsize, at))
+            at += size
+        #: arc: state << 8 | byte of every arc in order, for a binary search over all arcs.
+        self.arc, self.target, self.skip, self.offsets, self.outputs, self.final = found
 
     def numbers(self, words: list[str]) -> np.ndarray:
         """The number of each word, or -1."""
@@ -178,7 +233,7 @@ class Lexicon:
             own = live[n[live] > depth]
             if not len(own) or not len(self.arc):
                 break
-            key = state[own] * 256 + data[at[own] + depth]
+            key = state[own] << 8 | data[at[own] + depth]
             arc = np.minimum(np.searchsorted(self.arc, key), len(self.arc) - 1)
             hit = self.arc[arc] == key
             number[own[~hit]] = -1
@@ -194,44 +249,71 @@ class Lexicon:
 
 
 class Codec:
-    """Encodes and decodes texts: cached words, then the lexicon, then exact merging."""
+    """Encodes and decodes texts: remembered segments, then the lexicon, then exact merging."""
 
-    def __init__(self, block: bytes, path: str):
+    def __init__(self, block: bytes | mmap.mmap, path: str):
         self.merger, self.lexicon, self.exact = Merger(path), Lexicon(block), library(path)
-        self.known: dict[str, tuple[str, str, int]] = {}
-
-    def learn(self, words: list[str]) -> None:
-        new = [w for w in dict.fromkeys(words) if w not in self.known]
-        for word, number in zip(new, self.lexicon.numbers(new).tolist() if new else [], strict=True):
-            ids = self.lexicon.ids(number) if number >= 0 else self.merger.merge(word)
-            self.known[word] = (" ".join(map(str, ids)), self.merger.decode(ids), len(ids))
+        self.forget()
+
+    def forget(self) -> None:
+        self.word_ids: dict[str, str] = {}
+        self.word_text: dict[str, str] = {}
+        self.ids: dict[str, str] = {}  # of segments: ids joined by a space
+        self.text: dict[str, str] = {}  # and what they decode to
+        self.blank: set[str] = set()
+        self.chars = 0
+
+    def _tell(self, ids: list[int]) -> tuple[str, str]:
+        return " ".join(map(str, ids)), self.merger.decode(ids)
+
+    def learn(self, new: list[str]) -> None:
+        """Works out segments that are not known yet."""
+        split = {s: self.merger.split(s) for s in new if self.merger.plain(s)}
+        words = [w for w in dict.fromkeys(itertools.chain.from_iterable(split.values())) if w not in self.word_ids]
+        for word, number in zip(words, self.lexicon.numbers(words).tolist() if words else [], strict=True):
+            self.word_ids[word], self.word_text[word] = self._tell(self.lexicon.ids(number) if number >= 0 else self.merger.merge(word))
+        for s in new:
+            if s in split:
+                self.ids[s], self.text[s] = " ".join([self.word_ids[w] for w in split[s]]), " ".join([self.word_text[w] for w in split[s]])
+            else:
+                ids = self.exact.encode(s, add_special_tokens=False).ids
+                self.ids[s], self.text[s] = " ".join(map(str, ids)), self.exact.decode(ids, skip_special_tokens=False)
+            if not self.ids[s]:
+                self.blank.add(s)
+            self.chars += len(s)
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[int, str, str]]:
         """(number of ids, ids joined by a space, decoded text) of each text."""
-        split = [self.merger.split(t) if self.merger.plain(t) else None for t in (t or "" for t in texts)]
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        self.learn([w for ws in split if ws for w in ws])
-        for text, words in zip(texts, split, strict=True):
-            if words is None:
-                ids = self.exact.encode(text, add_special_tokens=False).ids
-                yield len(ids), " ".join(map(str, ids)), self.exact.decode(ids, skip_special_tokens=False)
-                continue
-            own = [x for x in map(self.known.__getitem__, words) if x[2]]
-            yield sum(x[2] for x in own), " ".join([x[0] for x in own]), " ".join([x[1] for x in own])
+        split = [segments(t) if t else [] for t in texts]
+        if len(self.ids) > CACHED_SEGMENTS or self.chars > CACHED_CHARS:
+            self.forget()
+        self.learn([s for s in dict.fromkeys(itertools.chain.from_iterable(split)) if s not in self.ids])
+        for own in split:
+            if self.blank:
+                own = [s for s in own if s not in self.blank]
+            ids = " ".join(map(self.ids.__getitem__, own))
+            yield ids.count(" ") + 1 if ids else 0, ids, " ".join(map(self.text.__getitem__, own))
 
 
 def _count(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merger, counted = Merger(path), Counter()
+
+        def told():
+            words = Counter()
+            for segment, times in counted.items():
+                for word in merger.split(segment):
+                    words[word] += times
+            counted.clear()
+            return batch(_COUNTS_ARROW, list(words), list(words.values()))
+
         for b in batches:
-            for text in b.column(0).to_pylist():
-                if text and merger.plain(text):
-                    counted.update(merger.split(text))
-            if len(counted) > COUNTED_WORDS:
-                yield batch(_COUNTS_ARROW, list(counted), list(counted.values()))
-                counted.clear()
-        yield batch(_COUNTS_ARROW, list(counted), list(counted.values()))
+            for a, z in text_slices(b.column(0)):
+                for text in b.column(0).slice(a, z - a).to_pylist():
+                    counted.update(segments(text) if text else ())
+                if len(counted) > COUNTED_SEGMENTS:
+                    yield told()
+        yield told()
 
     return run
 
@@ -244,22 +326,42 @@ def lexicon_of(docs: DataFrame, path: str, size: int = LEXICON_WORDS) -> bytes:
     return compile_lexicon({w: merger.merge(w) for w in top["word"].to_pylist()})
 
 
+def distribute(spark: SparkSession, block: bytes) -> str:
+    """Writes a block to the shared folder and has Spark bring it to every executor, also to those that come later;
+    the name under which SparkFiles finds it there."""
+    name = f"lexicon-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/files/{name}")
+    files = place.getFileSystem(context._jsc.hadoopConfiguration())
+    stream = files.create(place)
+    try:
+        stream.write(bytearray(block))
+    finally:
+        stream.close()
+    context.addFile(files.makeQualified(place).toUri().toString())
+    return name
+
+
 def encode(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """One row per row of docs: doc_id, n_tokens, ids_sha256, decoded_sha256.
 
-    Null text is empty: no tokens, and the digests of an empty string. A null doc_id stays null; repeated
-    rows are each encoded; an empty table gives no rows; other columns are ignored.
+    Null text is empty: no tokens, and the digests of an empty string. Texts and words of any length are encoded
+    whole, in time that grows with their length (times its logarithm within a word). A null doc_id stays null;
+    repeated rows are each encoded, to the same result; words that are equally frequent enter the lexicon in order of
+    the words, which no result depends on; an empty table gives no rows; other columns are ignored, whatever their
+    names.
     """
     has_columns(docs, "doc_id", "text")
     vocabulary = vocabulary or public_tokenizers.path("word_bpe_49k.json")
-    block = lexicon_of(docs, vocabulary)
+    name = distribute(docs.sparkSession, lexicon_of(docs, vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(block, vocabulary)
+        with open(SparkFiles.get(name), "rb") as f:
+            codec = Codec(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ), vocabulary)
         sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
         for b in batches:
-            for a in range(0, len(b), 64):
-                part = b.slice(a, 64)
+            for a, z in text_slices(b.column(1)):
+                part = b.slice(a, z - a)
                 found = [(n, sha(ids), sha(text)) for n, ids, text in codec.encode(part.column(1).to_pylist())]
                 yield batch(_RESULT_ARROW, part.column(0), *zip(*found, strict=True))
 
