@@ -125,6 +125,26 @@ def test_repeats(docs, rows, monkeypatch, chunk, slice_bytes):
     assert collected(out, "doc_id", "n_words", "n_removed", "kept_text", "kept_sha256") == repeats(rows)
 
 
+def test_repeats_with_frequent_runs_and_split_buckets(docs, rows, monkeypatch):
+    """Many runs are ordered last, and each bucket is worked on in parts; the result is the same."""
+    for name, value in (("FREQUENT_IN_COUNT", 2), ("COUNTED", 500), ("PART_WORDS", 40), ("HASHED", 64), ("BUCKETS_PER_PARTITION", 1)):
+        monkeypatch.setattr(substring_dedup, name, value)
+    out = substring_dedup.remove_repeats(docs)
+    assert collected(out, "doc_id", "n_words", "n_removed", "kept_text", "kept_sha256") == repeats(rows)
+
+
+def test_frequent_runs_are_no_minimisers_beside_rare_ones():
+    """A phrase that stands in every window is the minimiser of none that holds another run."""
+    import pyarrow as pa
+
+    text = " ".join(f"of the w{k} x{k}" for k in range(40))
+    phrase = substring_dedup.hash_runs(hash_spans(*(lambda d: (d, *words(d, np.array([0, len(d)]))[:2]))(np.frombuffer(b"of the", np.uint8))), 2)
+    chunk = substring_dedup.Chunk(np.array([1]), pa.array([text]), None, phrase, np.zeros(1, np.uint64))
+    assert len(chunk.minimiser) and not (chunk.minimiser >> np.uint64(63)).any()
+    plain = substring_dedup.Chunk(np.array([1]), pa.array([text]))
+    assert chunk.count.sum() >= 160 and {int(x) for x in plain.minimiser} >= {int(x) for x in chunk.minimiser} - {int(phrase[0]) >> 1}
+
+
 def test_equal_hashes_are_checked_word_by_word(monkeypatch):
     """Windows that share a hash but not their words stay apart."""
     monkeypatch.setattr(substring_dedup, "hash_runs", lambda codes, n: np.zeros(len(codes) - n + 1, np.uint64))

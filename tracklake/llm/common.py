@@ -6,6 +6,8 @@ found on the UTF-8 bytes with numpy; no text is decoded for that.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -38,6 +40,20 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@functools.cache
+def _malloc_trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim  # of the GNU C library
+    except (AttributeError, OSError):
+        return lambda _: 0
+
+
+def trim() -> None:
+    """Gives memory that is free inside this worker back to the system, so that workers that wait hold little."""
+    pa.default_memory_pool().release_unused()
+    _malloc_trim()(0)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
