@@ -1,17 +1,21 @@
 """Main text of web pages: flat text blocks, classified by a decision tree.
 
-A page becomes a flat list of text blocks. Each is described by its number of words, the share of them in
-links, the same of the block before and after it, and where it stands (in an element that marks the
-article, in one that marks page furniture, under a heading tag). A small decision tree, grown here from
-the labelled table in html_blocks.csv, tells article from furniture. Markup, scripts and hidden elements never
-become blocks.
+A page becomes a flat list of text blocks. Each is described by its number of words and the share of them in links,
+the same of the two blocks before and after it, the share of words near it that stand in blocks of running text,
+and weak evidence of its place: how many elements on the way from the article (or the page) down to it are marked as
+page furniture, whether it stands in a marked article, and whether it is a heading. A decision tree, grown on the driver from the
+labelled table in html_blocks.csv, tells article from furniture. Markup, scripts and hidden elements never become blocks.
+
+The table holds blocks of supplied pages, each page as it is and in variants: without any marks, with marks that
+mislead (a form, a sidebar or a comment class around the whole page), with links as paragraphs, and so on. A block's
+label is whether it belongs to the article; tests/llm/label_blocks.py makes the table.
 """
 
 from __future__ import annotations
 
 import csv
 import functools
-import os
+import pkgutil
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -22,16 +26,22 @@ from pyspark.sql import DataFrame
 
 from .common import batch, has_columns
 
-FEATURES = ["words", "link_share", "words_before", "link_share_before", "words_after", "link_share_after", "place", "furniture", "heading"]
-#: place: 2 in the article, 1 on a page that marks none, 0 outside of the one marked.
-MIN_LEAF = 1
+FEATURES = [
+    "words", "link_share", "words_before", "link_share_before", "words_after", "link_share_after", "place", "furniture", "heading",
+    "words_before_2", "link_share_before_2", "words_after_2", "link_share_after_2", "text_near",
+]
+#: place: 2 in the article, 1 on a page that marks none, 0 outside of the one marked. furniture: elements so marked between
+#: the block and its article, or the page, beyond those around every block of the page. text_near: share of the words of NEAR blocks on either side in blocks of RUNNING words and few links.
+NEAR, RUNNING = 4, 10
+#: Rows of the table in a leaf of the tree, at least.
+MIN_LEAF = 3
 
 _BREAKS = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li "
     "main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-_SILENT = set("script style template noscript iframe svg math object canvas audio video select button textarea head title".split())
+_SILENT = set("script style template noscript iframe svg object canvas audio video select button textarea head title".split())
 _FURNITURE = set("nav aside footer form menu dialog fieldset".split())
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _ARTICLE_WORDS = set("article articlebody content main post entry story body text".split())
@@ -42,16 +52,24 @@ _FURNITURE_WORDS = set(
 )
 _ROLES = set("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
 _SPLIT = re.compile(r"[^a-z0-9]+")
+#: An article element that is one reader's comment.
+_COMMENT = re.compile(r"(?:^|\s)(?:comment|reply)(?:-(?:body|content|item|\d+))?(?:\s|$)")
+_WALLS = frozenset("ul ol menu table div section article main aside nav footer header form blockquote".split())
 _RESULT_ARROW = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
 
 class _Blocks(HTMLParser):
-    """Collects [text, link words, in article, furniture, heading] of each block in page order."""
+    """Collects [text, link words, in article, furniture, heading] of each block in page order.
+
+    Open elements are kept on a stack, with the places of each tag on it, so that an end tag finds its element, or that
+    there is none, at once: time is proportional to the page, however badly its tags are nested.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.blocks: list[list] = []
-        self.open: list[tuple[str, str]] = []  # (tag, kind); kind: "", silent, furniture or article
+        self.open: list[tuple[str, str, int]] = []  # (tag, kind, furniture counted outside); kind: "", silent, furniture or article
+        self.places: dict[str, list[int]] = {}
         self.count = {"silent": 0, "furniture": 0, "article": 0}
         self.links = self.headings = 0
         self.parts: list[str] = []
@@ -62,12 +80,11 @@ class _Blocks(HTMLParser):
             return "silent"
         if tag in ("html", "body"):
             return ""
-        names = set(_SPLIT.split(f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()))
-        if names & _COMMENT_WORDS:
-            return "furniture"
+        told = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()
         if tag in ("article", "main") or attrs.get("role") in ("main", "article") or attrs.get("itemprop", "").lower() == "articlebody":
-            return "article"
-        if tag in _FURNITURE or attrs.get("role") in _ROLES:
+            return "furniture" if _COMMENT.search(told) else "article"
+        names = set(_SPLIT.split(told))
+        if names & _COMMENT_WORDS or tag in _FURNITURE or attrs.get("role") in _ROLES:
             return "furniture"
         if tag == "header" and not self.count["article"]:
             return "furniture"
@@ -85,11 +102,14 @@ class _Blocks(HTMLParser):
         if tag in _VOID:
             return
         if tag == "p" or tag == "li":  # neither holds another of itself directly
-            self._close(tag, {"ul", "ol", "menu", "table", "div", "section", "article", "main", "aside", "nav", "footer", "header", "form", "blockquote"})
+            self._close(tag, _WALLS)
         elif tag not in ("head", "title") and self.count["silent"] and self.open and self.open[-1][0] == "head" and tag in _BREAKS:
-            self._close("head", set())
+            self._close("head")
         kind = self._kind(tag, {k: v or "" for k, v in attrs})
-        self.open.append((tag, kind))
+        self.places.setdefault(tag, []).append(len(self.open))
+        self.open.append((tag, kind, self.count["furniture"]))
+        if kind == "article" and tag in ("article", "main"):
+            self.count["furniture"] = 0  # what stands around an article says nothing about what it holds
         self._add(tag, kind, 1)
 
     def handle_startendtag(self, tag, attrs):
@@ -101,17 +121,19 @@ class _Blocks(HTMLParser):
         if tag in _BREAKS:
             self.flush()
         if tag not in _VOID:
-            self._close(tag, set())
-
-    def _close(self, tag: str, walls: set[str]) -> None:
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] == tag:
-                for own in self.open[k:]:
-                    self._add(*own, -1)
-                del self.open[k:]
-                return
-            if self.open[k][0] in walls:
-                return
+            self._close(tag)
+
+    def _close(self, tag: str, walls: frozenset[str] = frozenset()) -> None:
+        own = self.places.get(tag)
+        if not own or any(self.places.get(w, [-1])[-1:] > own[-1:] for w in walls):
+            return
+        place = own[-1]
+        while len(self.open) > place:
+            name, kind, outside = self.open.pop()
+            self.places[name].pop()
+            self._add(name, kind, -1)
+            if kind == "article" and name in ("article", "main"):
+                self.count["furniture"] = outside
 
     def _add(self, tag: str, kind: str, by: int) -> None:
         if kind:
@@ -128,7 +150,7 @@ class _Blocks(HTMLParser):
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.blocks.append([text, self.linked, self.count["article"] > 0, self.count["furniture"] > 0, self.headings > 0])
+            self.blocks.append([text, self.linked, self.count["article"] > 0, self.count["furniture"], self.headings > 0])
         self.parts, self.linked = [], 0
 
 
@@ -144,15 +166,19 @@ def describe(own: list[list]) -> np.ndarray:
     """A row of FEATURES for each block."""
     words = np.array([len(b[0].split()) for b in own], float)
     share = np.minimum(1.0, np.array([b[1] for b in own], float) / np.maximum(words, 1))
-    pad = lambda x: np.concatenate([[0.0], x, [0.0]])
     article = np.array([b[2] for b in own])
     place = np.where(article, 2.0, 0.0 if article.any() else 1.0)
-    w, s = pad(words), pad(share)
-    return np.stack([words, share, w[:-2], s[:-2], w[2:], s[2:], place, np.array([b[3] for b in own], float), np.array([b[4] for b in own], float)], axis=1)
+    shifted = lambda x, by: np.concatenate([np.zeros(max(0, -by)), x[max(0, by) : len(x) + min(0, by)], np.zeros(max(0, by))])[: len(x)]
+    neighbours = [shifted(x, by) for by in (-1, 1, -2, 2) for x in (words, share)]
+    running = np.where((words >= RUNNING) & (share < 0.5), words, 0.0)
+    around = lambda x: np.convolve(x, np.ones(2 * NEAR + 1))[NEAR : NEAR + len(x)]
+    near = around(running) / np.maximum(around(words), 1)
+    furniture, heading = (np.array([b[k] for b in own], float) for k in (3, 4))
+    return np.stack([words, share, *neighbours[:4], place, furniture - furniture.min(), heading, *neighbours[4:], near], axis=1)
 
 
 class Tree:
-    """A binary decision tree grown by Gini impurity until its leaves are pure."""
+    """A binary decision tree grown by Gini impurity until its leaves are pure, or hold too few rows to be split."""
 
     def __init__(self, x: np.ndarray, y: np.ndarray):
         self.value = int(2 * y.sum() > len(y))
@@ -176,6 +202,8 @@ class Tree:
         return 2 * p * (1 - p)
 
     def predict(self, x: np.ndarray) -> np.ndarray:
+        """The classes of rows of FEATURES; features that are left out at the end of the rows are 0."""
+        x = np.pad(x, ((0, 0), (0, max(0, len(FEATURES) - x.shape[1]))))
         if self.feature is None:
             return np.full(len(x), self.value)
         left = x[:, self.feature] <= self.cut
@@ -184,33 +212,41 @@ class Tree:
         return out
 
 
+def table() -> tuple[np.ndarray, np.ndarray]:
+    """The labelled blocks: a row of FEATURES, and whether it belongs to the article."""
+    text = pkgutil.get_data(__package__, "html_blocks.csv").decode()
+    rows = list(csv.DictReader(text.splitlines()))
+    return np.array([[float(r[f]) for f in FEATURES] for r in rows]), np.array([int(r["article"]) for r in rows])
+
+
 @functools.cache
 def tree() -> Tree:
-    with open(os.path.join(os.path.dirname(__file__), "html_blocks.csv"), newline="") as lines:
-        table = list(csv.DictReader(lines))
-    return Tree(np.array([[float(r[f]) for f in FEATURES] for r in table]), np.array([int(r["article"]) for r in table]))
+    return Tree(*table())
 
 
-def main_text(html: str | None) -> str:
+def main_text(html: str | None, classifier: Tree | None = None) -> str:
     own = blocks(html or "")
     if not own:
         return ""
-    return "\n".join(b[0] for b, keep in zip(own, tree().predict(describe(own)), strict=True) if keep)
-
-
-def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for a in range(0, len(b), 256):
-            part = b.slice(a, 256)
-            texts = [main_text(x) for x in part.column(2).to_pylist()]
-            yield batch(_RESULT_ARROW, part.column(0), part.column(1), texts, [len(t) for t in texts])
+    return "\n".join(b[0] for b, keep in zip(own, (classifier or tree()).predict(describe(own)), strict=True) if keep)
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """One row per row of pages: page_id, url, text, n_chars.
 
     Null html is empty and gives an empty text; null page_id and url stay null; repeated rows are each
-    extracted; an empty table gives no rows; other columns are ignored. Texts have no upper length.
+    extracted, to the same text; an empty table gives no rows; other columns are ignored, whatever their names. Pages
+    and texts have no upper length: time is proportional to a page. Where two splits of the tree are equally good, the
+    first feature and the lowest value count.
     """
     has_columns(pages, "page_id", "url", "html")
-    return pages.selectExpr("cast(page_id as long) as page_id", "url", "html").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
+    classifier = tree()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for a in range(0, len(b), 256):
+                part = b.slice(a, 256)
+                texts = [main_text(x, classifier) for x in part.column(2).to_pylist()]
+                yield batch(_RESULT_ARROW, part.column(0), part.column(1), texts, [len(t) for t in texts])
+
+    return pages.selectExpr("cast(page_id as long) as page_id", "url", "html").mapInArrow(run, "page_id long, url string, text string, n_chars long")
