@@ -15,6 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,12 +33,33 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Writes df as a table in the shared folder and reads it back: its lineage ends there."""
+def cut(df: DataFrame, *by: str) -> DataFrame:
+    """Writes df as a table in the shared folder, in a folder for each value of `by`, and reads it back: its lineage ends there."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*by).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    out.cut_path = path
+    return out
+
+
+def discard(df: DataFrame, within: str = "") -> None:
+    """Removes a table that `cut` wrote, or a folder of it, once nothing reads it any more."""
+    context = df.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(f"{df.cut_path}/{within}".rstrip("/"))
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def keyed(docs: DataFrame, name: str = "row") -> DataFrame:
+    """docs with a key of each row in the column `name`, the same however often docs is read.
+
+    Rows of Parquet files are told by their file (a 64-bit hash of its path) and their place in it. Other rows are written
+    with a key first.
+    """
+    try:
+        return docs.select("*", F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place")).alias(name))
+    except AnalysisException:  # not read from files
+        return cut(docs.withColumn(name, F.struct(F.lit(0).cast("long").alias("file"), F.monotonically_increasing_id().alias("place"))))
 
 
 @functools.cache

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, external_id, has_columns, internal_id
+from .common import cut, discard, external_id, has_columns, internal_id, keyed
 
 FIRST_DIGIT, GROWTH = 256, 8
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -41,25 +41,28 @@ def duplicates(docs: DataFrame, first_digit: int = FIRST_DIGIT, growth: int = GR
     Texts are equal when identical after lower-casing A-Z; null text equals empty text. The row with
     the largest doc_id stays, and of rows that repeat that doc_id in one group just one. A null doc_id
     counts as smaller than any other, so keep_id is null only if the whole group has no ids. An empty
-    table gives no rows; other columns are ignored, whatever their names. A key is a whole number that tells a
-    row wherever docs is read again.
+    table gives no rows; other columns are ignored, whatever their names. A text of any length is compared whole. A key
+    is a value that tells a row wherever docs is read again, and can be put in order.
     """
     has_columns(docs, "doc_id", "text")
-    rows = docs.select(internal_id().alias("id"), (F.col(key) if key else F.monotonically_increasing_id()).alias("row"), normalised(F.col("text")).alias("norm"))
+    rows = docs.select(internal_id().alias("id"), F.col(key).alias("row"), "text") if key else keyed(docs.select(internal_id().alias("id"), "text"))
+    rows = rows.select("id", "row", normalised(F.col("text")).alias("norm"))
     rows = rows.select("id", "row", F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256"), F.col("norm").cast("binary").alias("rest"))
-    done, keys, width = [], [], first_digit
+    done, keys, width, before = [], [], first_digit, None
     answer = ["id", "row", "best", "size", "text_sha256"]
     while True:
         split = _split(rows, keys, width)
         open_rest = F.when(~F.col("closed"), F.expr(f"substring(rest, {width + 1})"))
         # After the first round a group is told by its smallest row number, before it by its first digit.
         told = F.when(~F.col("closed"), F.col("digit")) if not keys else F.col("group_row")
-        level = cut(split.select(*answer, "closed", told.alias("group"), open_rest.alias("rest")))
+        level = cut(split.select(*answer, "closed", told.alias("group"), open_rest.alias("rest")), "closed")
+        if before is not None:
+            discard(before, "closed=false")
         done.append(level.where("closed").select(*answer))
         rows = level.where("not closed").select("id", "row", "text_sha256", "group", "rest")
         if rows.isEmpty():
             break
-        keys, width = ["group"], width * growth
+        keys, width, before = ["group"], width * growth, level
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)

@@ -29,8 +29,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .common import batch, byte_array, concat_ranges, cut, external_id, has_columns, hash_runs, hash_spans, internal_id, lower_ascii, mix, partitions, slices, words
+from .common import batch, byte_array, concat_ranges, cut, discard, external_id, has_columns, hash_runs, hash_spans, internal_id, lower_ascii, mix, partitions, slices, words
 
 SHINGLE_WORDS = 5
 #: Two sets link when NEED_PART * |union| <= NEED_WHOLE * |intersection|.
@@ -87,7 +88,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for first, members, at in shingle_sets(b.column(1)):
             x, y = _sums(members, at)
             rest = [c.slice(first, len(at) - 1) for c in b.columns[2:]]
-            schema = _SETS_ARROW.append(pa.field("row", pa.int64())) if rest else _SETS_ARROW
+            schema = _SETS_ARROW.append(pa.field("row", rest[0].type)) if rest else _SETS_ARROW
             yield batch(schema, b.column(0).slice(first, len(at) - 1), np.diff(at), x.view(np.int64), y.view(np.int64), *rest)
 
 
@@ -206,11 +207,14 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         small = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.toDF("u", "v"))
-        now = cut(small.distinct())
+        before, now = now, cut(small.distinct())
+        discard(before)
     else:
         raise RuntimeError("components did not settle")
     nodes = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return nodes.union(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    out = nodes.union(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    out.cut_path = now.cut_path
+    return out
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -353,14 +357,15 @@ def near_groups(docs: DataFrame, key: str | None = None) -> DataFrame:
     Words are compared after lower-casing A-Z. Null or wordless text has an empty set and is linked with
     nothing, not even another empty one. A null doc_id counts as smaller than any other, so the
     component_id of a group that holds one is null. Rows that repeat a doc_id are linked like any others.
-    An empty table gives no rows; other columns are ignored. A key is a whole number that tells a row wherever
-    docs is read again; kept is true for one row of each group, that of the smallest (doc_id, key).
+    Texts of any length are taken whole; an empty table gives no rows; other columns are ignored, whatever their names. A
+    key is a value that tells a row wherever docs is read again, and can be put in order; kept is true for one row of
+    each group, that of the smallest (doc_id, key).
     """
     has_columns(docs, "doc_id", "text")
     spark = docs.sparkSession
-    rows = docs.select(internal_id().alias("id"), "text", *([F.col(key).cast("long").alias("row")] if key else []))
+    rows = docs.select(internal_id().alias("id"), "text", *([F.col(key).alias("row")] if key else []))
     own, told = (F.struct("id", "row"), "row") if key else (F.col("id"), "id")  # what names a row
-    sets = cut(rows.mapInArrow(_describe, _SETS + ", row long" * bool(key)))
+    sets = cut(rows.mapInArrow(_describe, StructType([*StructType.fromDDL(_SETS), *rows.schema[2:]])))
     classes = sets.where("n_shingles > 0").groupBy("a", "b", F.col("n_shingles").alias("n")).agg(F.min(own).alias("least"))
     classes = cut(classes.select(F.col("a").alias("node"), "n", "least"))
 
@@ -374,14 +379,19 @@ def near_groups(docs: DataFrame, key: str | None = None) -> DataFrame:
     candidates = sent.groupBy("bucket").applyInArrow(_postings, "u long, v long")
     pieces = components(candidates)
     bitmaps = rows.mapInArrow(_send_bitmaps, "node long, members binary")
-    alike = components(_links(cut(classes.join(pieces, "node")), bitmaps, exact=False))
+    work = cut(classes.join(pieces, "node"))
+    discard(pieces)
+    alike = components(_links(work, bitmaps, exact=False))
+    discard(work)
 
     work = cut(classes.join(alike, "node"))
+    discard(alike)
     wanted = work.select(F.col("least.row" if key else "least").alias(told)).distinct()
     members = rows.join(wanted, told, "left_semi").select("id", "text").mapInArrow(_members, "node long, members binary")
     links = _links(work, members, exact=True)
 
     joined = components(links)
+    discard(work)
     grouped = classes.join(joined, "node", "left").select("node", "n", "least", F.coalesce("root", "node").alias("root"))
     smallest = grouped.groupBy("root").agg(F.min("least").alias("component"))
     by_class = grouped.join(smallest, "root").select(F.col("node").alias("a"), F.col("n").alias("n_shingles"), "component")
