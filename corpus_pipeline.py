@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklake.llm import exact_dedup, language_id, ngram_join, packing, substring_dedup
-from tracklake.llm.common import shared_dir
+from tracklake.llm.common import keyed, shared_dir
 
 
 #: A document whose language is less certain than this is rejected; with clean text it is near 1.
@@ -16,14 +16,11 @@ LEAST_CERTAIN = 0.5
 
 
 def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
-    """docs with a key of each row, and the name of that column. It is written, so a row keeps its key however often it is read."""
+    """docs with a key of each row, and the name of that column; a row keeps its key however often it is read."""
     key = "row_key"
     while key in docs.columns:
         key += "_"
-    path = f"{shared_dir(docs.sparkSession)}/tables/{uuid.uuid4().hex}"
-    keyed = docs.withColumn(key, F.monotonically_increasing_id())
-    keyed.write.option("compression", "zstd").parquet(path)
-    return docs.sparkSession.read.schema(keyed.schema).parquet(path), key
+    return keyed(docs, key), key
 
 
 def _only(docs: DataFrame, kept: DataFrame, key: str) -> DataFrame:
@@ -62,6 +59,7 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in their sequences, as packing.pack gives them."""
     return packing.pack(docs)
 
 
