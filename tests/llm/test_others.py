@@ -109,6 +109,38 @@ def test_forward_sums_all_segmentations():
             assert math.isclose(alpha[language, 0, len(part)], math.log(ways(0, language)), rel_tol=1e-9)
 
 
+@pytest.mark.parametrize("share,scale", [(0.05, 40), (2.0, 40), (0.0, 40), (0.05, 30_000), (0.05, 1)])
+def test_index_proves_what_it_leaves_out(monkeypatch, share, scale):
+    """Whatever tier a query ends at, no better row is left out, and scores are exact."""
+    monkeypatch.setattr(topk_search, "RESCORE_SHARE", share)
+    rng = np.random.default_rng(4)
+    rows = np.floor(rng.standard_normal((700, 24)) * scale)
+    rows[300:340] = rows[5]  # ties
+    rows[400] = 0
+    queries = np.concatenate([rows[:20], np.zeros((1, 24)), np.floor(rng.standard_normal((10, 24)) * scale * 3)])
+    live = rng.random((len(queries), len(rows))) < 0.9
+    live[3] = False
+    live[4, 3:] = False
+    for i, (found, score) in enumerate(topk_search.BlockIndex(rows).search(queries, 5, live)):
+        exact = (rows @ queries[i]).astype(int)
+        assert (exact[found] == score).all() and live[i, found].all()
+        best = sorted((-exact[r], r) for r in np.flatnonzero(live[i]))[:5]
+        assert {r for _, r in best} <= set(found.tolist())
+
+
+def test_many_dimensions_and_large_components(spark):
+    """5,000 dimensions, components to 1e9, against whole numbers."""
+    rng = np.random.default_rng(6)
+    rows = [(i, (rng.standard_normal(5000) * (1e9 if i % 7 == 0 else 1.0)).tolist()) for i in range(40)] + [(50 + i, (rng.standard_normal(5000) * 40).tolist()) for i in range(3)]
+    whole = {i: [math.floor(256 * x) for x in v] for i, v in rows}
+    want = []
+    for q in (0, 50):
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], o, strict=True)), i) for i, o in whole.items() if i != q)
+        want += [(q, k + 1, i, -s if abs(s) < 2**63 else None) for k, (s, i) in enumerate(scores[:5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    assert collected(topk_search.top_k(df), "query_id", "rank", "vec_id", "score") == sorted(want, key=repr)
+
+
 def _plain_forward(part, log_p, known, longest):
     """Place by place in logarithms, each word for itself."""
     alpha = np.full((len(log_p), len(part) + 1), -np.inf)

@@ -1,92 +1,103 @@
 """Exact top-k inner-product search with an impact-ordered, score-at-a-time index.
 
-Vectors are scaled to integers. A block of rows is indexed by (dimension, quantised impact): component v is
-STEP * level + rest with |rest| <= STEP / 2, and the posting segment of a level lists the rows that have
-it. A query visits segments in descending |query component| * |STEP * level| and adds each impact to its
-rows' scores. What is still unvisited bounds how far any score can move; the visit stops only when
-at most as many rows as are worth rescoring can still reach the k-th best lower bound. Those rows, ties
-included, get their exact integer score.
-
-Rows are dealt into blocks, and each block meets each group of queries once: the stated queries against
-all rows, in blocks. A task holds one block and one group, whatever the size of the table. Each block
-hands on k rows per query, which a window with a group limit reduces to k.
+Vectors are scaled to integers. The postings of a block of rows are segments by (dimension, level): the rows whose
+component there has a magnitude of that power of sixteen. A query's components have levels too, and the impact of a
+segment is quantised to the sum of both, counted down from the largest there can be. Segments are processed by
+descending impact, a tier at a time and for many queries at once; each adds its part to its rows' scores. What
+is not processed yet of a row is bounded by the norms of what is left (Cauchy and Schwarz, level by level). A query
+stops only on proof: when at most as many rows as are worth rescoring can still reach the k-th best lower bound.
+Those rows, ties included, get their exact integer score.
+
+Rows are dealt into blocks once, and each block's index is built once; the queries stream through it in batches:
+the stated queries against all rows, in blocks. A task holds one block and one batch, whatever the size of the
+table. Each block hands on k rows per query, which a window with a group limit reduces to k.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import has_columns
+from .common import cut, has_columns, partitions, trim
 
-STEP = 16
-BLOCK_ROWS, QUERY_ROWS = 32768, 512
+#: Rows of a block (at most, and at least where there are tasks without a block), and queries of a batch.
+BLOCK_ROWS, LEAST_ROWS, QUERY_ROWS = 32768, 4096, 64
 #: No finite component is too large. Rows and queries with one of INDEXED and more are scored by whole numbers of any size.
 LARGEST, INDEXED = math.inf, 2.0**18
-#: Scores and bounds of the index fit 64 bits, the count of dimensions included, while no sum can reach this.
+#: Scores and bounds of the index are exact in a double while no sum can reach this.
 PACKED = 2.0**50
-#: After these shares of the segments the bounds are tried; visiting ends once at most RESCORE_SHARE of
-#: the block could be a member.
-VISITS = (0.6, 0.75, 1.0)
-RESCORE_SHARE = 0.2
-#: Place of the count of visited dimensions in a packed score.
-SHIFT_BITS = 12
-SHIFT = 1 << SHIFT_BITS
+#: Bits of a level: a magnitude's level is its power of 2 ** LEVEL_BITS.
+LEVEL_BITS = 4
+#: Segments whose impact is at most TIERS[0] levels below the largest are processed first, and so on; behind the last tier
+#: nothing is left.
+TIERS = (1, 2, 1 << 20)
+#: A query is proved once at most this share of the block could be members (or four times as many as asked for).
+RESCORE_SHARE = 0.05
 #: A score that leaves 64 bits is null; size (its bytes, with its sign) and digits then tell its place.
 _SCHEMA = "query_id long, vec_id long, score long, size int, digits binary"
 _ARROW = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64()), ("size", pa.int32()), ("digits", pa.binary())])
 
 
+def _levels(x: np.ndarray) -> np.ndarray:
+    """The level of each magnitude, -1 for 0."""
+    return (np.frexp(np.abs(x))[1].astype(np.int16) - 1) // LEVEL_BITS
+
+
 class BlockIndex:
-    """Posting segments of one block: rows sorted by level within each dimension."""
-
-    def __init__(self, vectors: np.ndarray, step: int = STEP):
-        self.vectors, self.step = vectors, step
-        levels = (vectors + step // 2) // step  # to the nearest, so the rest is -step / 2 .. step / 2 - 1
-        rest = vectors - step * levels
-        self.rest_norm = float(np.sqrt((rest * rest).sum(axis=1).max(initial=0)))
-        order = np.argsort(levels, axis=0, kind="stable").astype(np.int32)
-        dims, kinds, self.rows = [], [], []
-        for d in range(vectors.shape[1]):
-            own = levels[order[:, d], d]
-            cuts = np.flatnonzero(np.diff(own)) + 1
-            for rows in np.split(order[:, d], cuts):
-                dims.append(d)
-                kinds.append(int(levels[rows[0], d]))
-                self.rows.append(np.ascontiguousarray(rows))
-        self.dim, self.level = np.array(dims, np.int64), np.array(kinds, np.int64)
-
-    def search(self, query: np.ndarray, k: int, live: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rows of `live` (the k best, their ties and perhaps more) and their exact scores.
-
-        A row's score and the number of its dimensions visited are kept in one integer. What is left of a row
-        is at most the next segment's impact for each dimension not visited, and the rests.
-        """
-        dims = self.vectors.shape[1]
-        impact = query[self.dim] * self.level * self.step
-        order = np.argsort(-np.abs(impact), kind="stable")
-        left = np.abs(impact)[order]
-        rests = min(int(np.abs(query).sum()) * (self.step // 2), int(np.linalg.norm(query.astype(float)) * self.rest_norm * (1 + 1e-9)) + 1)
-        packed = impact * SHIFT + 1
-        total = np.zeros(len(self.vectors), np.int64)
-        stops = [int(len(order) * share) for share in VISITS]
-        for at, stop in zip([0, *stops[:-1]], stops, strict=True):
-            if live.sum() <= k:
+    """Posting segments of one block of integer vectors, as the levels of all components, with the norms of what lies below a level."""
+
+    def __init__(self, vectors: np.ndarray):
+        self.vectors = vectors.astype(float)
+        self.level = _levels(self.vectors)
+        self.top = int(self.level.max(initial=-1))
+        squares = np.zeros((self.top + 2, len(vectors)))
+        for b in range(self.top + 1):
+            squares[b + 1] = squares[b] + np.where(self.level == b, self.vectors * self.vectors, 0.0).sum(axis=1)
+        #: below[b]: each row's norm over its components of lower levels than b.
+        self.below = np.sqrt(squares)
+
+    def segments(self, low: int, high: int) -> np.ndarray:
+        """The components of the levels low .. high - 1, zero elsewhere."""
+        return np.where((self.level >= low) & (self.level < high), self.vectors, 0.0)
+
+    def search(self, queries: np.ndarray, k: int, live: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query rows of live[query] (the k best, their ties and perhaps more) and their exact scores."""
+        queries = queries.astype(float)
+        most = _levels(queries).max(axis=1, keepdims=True, initial=-1)
+        down = most - _levels(queries)  # 0 for a query's largest components
+        out: list = [None] * len(queries)
+        todo, score, before = np.arange(len(queries)), np.zeros((len(queries), len(self.vectors))), -1
+        for tier in TIERS:
+            rest = np.zeros_like(score)
+            for a in range(int(down[todo].max(initial=0)) + 1):
+                own = np.where(down[todo] == a, queries[todo], 0.0)
+                if not own.any():
+                    continue
+                # Of the row's levels, counted down from the top, those up to tier - a are processed now.
+                low, high = max(0, self.top - tier + a), max(0, min(self.top + 1, self.top - before + a)) if before >= 0 else self.top + 1
+                if low < high:
+                    score += own @ self.segments(low, high).T
+                low = min(low, self.top + 1)
+                if low:
+                    rest += np.linalg.norm(own, axis=1)[:, None] * self.below[low]
+            rest = np.where(rest > 0, rest * (1 + 1e-9) + 1, 0.0)  # more than any rounding
+            own_live = live[todo]
+            lower = np.where(own_live, score - rest, -np.inf)
+            kth = np.partition(lower, -k, axis=1)[:, -k] if lower.shape[1] > k else np.full(len(todo), -np.inf)
+            possible = own_live & (score + rest >= kth[:, None])
+            proved = (possible.sum(axis=1) <= max(4 * k, RESCORE_SHARE * len(self.vectors))) | (tier == TIERS[-1])
+            for i in np.flatnonzero(proved).tolist():
+                rows = np.flatnonzero(possible[i])
+                out[todo[i]] = rows, (self.vectors[rows] @ queries[todo[i]]).astype(np.int64)
+            todo, score, before = todo[~proved], score[~proved], tier
+            if not len(todo):
                 break
-            for s in order[at:stop].tolist():
-                total[self.rows[s]] += packed[s]
-            seen, score = total & (SHIFT - 1), total >> SHIFT_BITS
-            most = (dims - seen) * (left[stop] if stop < len(left) else 0) + rests
-            kth = np.partition((score - most)[live], -k)[-k]
-            live = live & (score + most >= kth)
-            if live.sum() <= max(4 * k, RESCORE_SHARE * len(live)):
-                break  # no other row can be a member; these are rescored
-        rows = np.flatnonzero(live)
-        return rows, self.vectors[rows] @ query
+        return out
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -116,41 +127,84 @@ def _place(score: int) -> tuple[int | None, int, bytes | None]:
     return None, size if score > 0 else -size, digits
 
 
-def _searcher(k: int):
-    def run(queries: pa.Table, rows: pa.Table) -> pa.Table:
-        ids, wanted = rows["vec_id"].to_numpy(), queries["vec_id"].to_numpy()
-        if not len(ids) or not len(wanted):
-            return _ARROW.empty_table()
-        block, asked = _matrix(rows["vector"]), _matrix(queries["vector"])
-        width = max(block.shape[1], asked.shape[1])
-        block, asked = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (block, asked))
-        usual = (np.abs(block) < INDEXED).all(axis=1)
-        wide, wide_ids = _whole(block[~usual]), ids[~usual]
-        block, ids = np.floor(256.0 * block[usual]).astype(np.int64), ids[usual]
-        index = BlockIndex(block) if len(ids) else None
-        peak = np.abs(block).max(axis=0, initial=0).astype(float) + STEP
-        out = []
-        for query, vector in zip(wanted.tolist(), asked, strict=True):
-            reach = float(np.abs(256.0 * vector) @ peak) + peak.sum() if (np.abs(vector) < INDEXED).all() else math.inf
-            if index is None:
-                found, score = np.zeros(0, np.int64), np.zeros(0, np.int64)
-            elif reach < PACKED and width < SHIFT:
-                found, score = index.search(np.floor(256.0 * vector).astype(np.int64), k, ids != query)
+class Block:
+    """The rows of a block: indexed, or those with a component of INDEXED and more as whole numbers."""
+
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, k: int):
+        usual = (np.abs(rows) < INDEXED).all(axis=1)
+        self.k, self.ids, self.width = k, ids[usual], rows.shape[1]
+        self.whole = np.floor(256.0 * rows[usual])
+        self.wide, self.wide_ids = _whole(rows[~usual]), ids[~usual]
+        self.index = BlockIndex(self.whole) if len(self.ids) else None
+        self.peak = np.abs(self.whole).max(axis=0, initial=0) + 1
+
+    def best(self, wanted: np.ndarray, asked: np.ndarray) -> Iterator[tuple]:
+        """(query, vec_id, score, size, digits) of the k best rows for each query."""
+        width = max(self.width, asked.shape[1])
+        if width > self.width:  # longer queries than rows: what is beyond meets zeros
+            asked = asked[:, : self.width]
+        asked = np.pad(asked, ((0, 0), (0, self.width - asked.shape[1])))
+        near = (np.abs(asked) < INDEXED).all(axis=1)
+        reach = np.where(near, np.abs(np.floor(256.0 * np.where(near[:, None], asked, 0.0))) @ self.peak, np.inf)
+        found: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        easy = np.flatnonzero(reach < PACKED)
+        if self.index is not None and len(easy):
+            live = self.ids != wanted[easy, None]
+            found = dict(zip(easy.tolist(), self.index.search(np.floor(256.0 * asked[easy]), self.k, live), strict=True))
+        for i, (query, vector) in enumerate(zip(wanted.tolist(), asked, strict=True)):
+            if i in found:
+                rows, score = found[i]
             else:
-                found = np.flatnonzero(ids != query)
-                score = block[found] @ np.floor(256.0 * vector).astype(np.int64) if reach < 2.0**62 else block[found].astype(object) @ _whole(vector)
-            best = np.lexsort((ids[found], -score))[:k] if score.dtype != object else sorted(range(len(found)), key=lambda i: (-score[i], ids[found[i]]))[:k]
-            own = [(int(score[i]), int(ids[found[i]])) for i in best]
-            if len(wide_ids):
-                other = np.flatnonzero(wide_ids != query)
-                own += zip((wide[other] @ _whole(vector)).tolist(), wide_ids[other].tolist(), strict=True)
-                own = sorted(own, key=lambda x: (-x[0], x[1]))[:k]
-            out += [(query, found_id, *_place(value)) for value, found_id in own]
-        return pa.Table.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), _ARROW, strict=True)], schema=_ARROW) if out else _ARROW.empty_table()
+                rows = np.flatnonzero(self.ids != query)
+                if reach[i] < 2.0**62:
+                    score = self.whole[rows].astype(np.int64) @ np.floor(256.0 * vector).astype(np.int64)
+                else:
+                    score = self.whole[rows].astype(np.int64).astype(object) @ _whole(vector)
+            order = np.lexsort((self.ids[rows], -score))[: self.k] if score.dtype != object else sorted(range(len(rows)), key=lambda r: (-score[r], self.ids[rows[r]]))[: self.k]
+            own = [(int(score[r]), int(self.ids[rows[r]])) for r in order]
+            if len(self.wide_ids):
+                other = np.flatnonzero(self.wide_ids != query)
+                own += zip((self.wide[other] @ _whole(vector)).tolist(), self.wide_ids[other].tolist(), strict=True)
+                own = sorted(own, key=lambda x: (-x[0], x[1]))[: self.k]
+            for value, row in own:
+                yield (query, row, *_place(value))
+
+
+def _searcher(k: int):
+    """Batches of (block, asked, vec_id, vector), in order of block, a block's rows (asked 0) before its queries (1)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, block = None, [], None
+        for b in batches:
+            for part in _runs(b):
+                number, asked = part.column(0)[0].as_py(), part.column(1)[0].as_py()
+                if number != now:
+                    now, held, block = number, [], None
+                    trim()
+                if not asked:
+                    held.append(part)
+                elif held or block is not None:
+                    if block is None:
+                        rows = pa.Table.from_batches(held)
+                        block, held = Block(rows["vec_id"].to_numpy(), _matrix(rows["vector"]), k), []
+                    for a in range(0, len(part), QUERY_ROWS):
+                        own = part.slice(a, QUERY_ROWS)
+                        out = list(block.best(own.column(2).to_numpy(), _matrix(own.column(3))))
+                        if out:
+                            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), _ARROW, strict=True)], schema=_ARROW)
 
     return run
 
 
+def _runs(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The parts of a batch with one block and one kind of row each."""
+    block, asked = (b.column(i).to_numpy() for i in range(2))
+    cuts = [0, *(np.flatnonzero((np.diff(block) != 0) | (np.diff(asked) != 0)) + 1).tolist(), len(b)]
+    for a, z in zip(cuts[:-1], cuts[1:], strict=True):
+        if z > a:
+            yield b.slice(a, z - a)
+
+
 def finite_vectors(embeddings: DataFrame) -> DataFrame:
     """vec_id and the components, for the rows that take part; equal rows once."""
     # A null, NaN or infinite component fails the test.
@@ -169,15 +223,14 @@ def top_k(embeddings: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     leaves 64 bits is null in the result. An empty table gives no rows; other columns are ignored.
     """
     has_columns(embeddings, "vec_id", "embedding")
-    vectors = finite_vectors(embeddings)
-    n, asked = vectors.agg(F.count(F.lit(1)), F.count_if(F.col("vec_id") % every == 0)).first()
-    blocks, groups = max(1, -(-n // BLOCK_ROWS)), max(1, -(-asked // QUERY_ROWS))
-    dealt = F.xxhash64("vec_id", "vector")
-    rows = vectors.select("vec_id", "vector", F.pmod(dealt, F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
-    queries = vectors.where(F.col("vec_id") % every == 0).select(
-        "vec_id", "vector", F.pmod(dealt, F.lit(groups)).cast("int").alias("group"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block")
-    )
-    found = queries.groupBy("block", "group").cogroup(rows.groupBy("block", "group")).applyInArrow(_searcher(k), _SCHEMA)
+    vectors = cut(finite_vectors(embeddings))
+    n = vectors.count()
+    tasks = partitions(embeddings.sparkSession)
+    blocks = max(1, -(-n // BLOCK_ROWS), min(tasks, -(-n // LEAST_ROWS)))
+    rows = vectors.select(F.pmod(F.xxhash64("vec_id", "vector"), F.lit(blocks)).alias("block"), F.lit(0).alias("asked"), "vec_id", "vector")
+    queries = vectors.where(F.col("vec_id") % every == 0).select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"), F.lit(1).alias("asked"), "vec_id", "vector")
+    dealt = rows.unionByName(queries).repartition(max(tasks, blocks), "block").sortWithinPartitions("block", "asked")
+    found = dealt.mapInArrow(_searcher(k), _SCHEMA)
     best = Window.partitionBy("query_id").orderBy(F.desc("size"), F.desc("digits"), F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
