@@ -259,6 +259,71 @@ def test_limits_hold(seed):
     assert np.isfinite(error)
 
 
+@pytest.mark.parametrize("n", [4, 5, 47, 48, 49, 50, 51, 99, 200])
+def test_banded_solves(n):
+    """Against dense matrices, at lengths around those of the blocks."""
+    rng = np.random.default_rng(n)
+    d1, d2, d3 = (rectify.differences(n, k) for k in (1, 2, 3))
+    w = [rng.random(n - k) + 0.1 for k in (0, 1, 2, 3)]
+    dense = np.diag(w[0]) + 1e-3 * d1.T @ np.diag(w[1]) @ d1 + 1e-6 * d2.T @ np.diag(w[2]) @ d2 + 1e-8 * d3.T @ np.diag(w[3]) @ d3
+    band = rectify.Band.diagonal(w[0])
+    for k, by in ((1, 1e-3), (2, 1e-6), (3, 1e-8)):
+        band = band + rectify.Band.squares(rectify._taps(k, rectify.DT), w[k], n).times(by)
+    v = rng.standard_normal(n)
+    assert np.allclose(band @ v, dense @ v) and np.allclose(band.solve(v), np.linalg.solve(dense, v), rtol=1e-7)
+
+
+@pytest.mark.parametrize("n", [200, 401, 2000])
+def test_limits_hold_at_every_length(n):
+    z = noisy(5, n, 0.2, n // 30)
+    z[n // 2 : n // 2 + 20] = z[np.flatnonzero(~np.isnan(z))[n // 3]]  # a stop that noise would turn backward
+    x, error = rectify.with_growing_outlier_term(z, 1e-3, 0.0, 1e-7, 1)
+    assert np.diff(x).min() > -1e-3 and np.isfinite(error)
+    assert np.abs(np.diff(x, 2)).max() / rectify.DT**2 < 10.1
+
+
+def test_weights_that_follow_the_result(monkeypatch):
+    """Which weights are tried, one after the other, against a plain walk through the three loops."""
+    z = noisy(7, 60, 0.2, 4)
+    seen, plain = [], rectify.solve
+    monkeypatch.setattr(rectify, "solve", lambda z, *weights, **more: (seen.append(weights[:3]), plain(z, *weights, **more))[1])
+    x = rectify.adaptive(z, 1e-3, 1e-5, 1e-7, 1)
+    step, k1, k2, k3, want = 1e-6, 1e-3, 1e-5, 1e-7, []
+
+    def one():
+        want.append((k1, k2, k3))
+        return plain(z, k1, k2, k3)
+
+    for _ in range(11):
+        y = one()
+        k3 += step
+        if np.diff(y).min() >= 0:
+            break
+    if np.abs(np.diff(y, 2)).max() / rectify.DT**2 > 6:
+        for _ in range(11):
+            y = one()
+            k2 += step
+            if np.abs(np.diff(y, 2)).max() / rectify.DT**2 <= 6:
+                break
+    before, now = np.inf, rectify.mean_error(y, z)
+    for _ in range(11):
+        if now >= before:
+            break
+        k1 += step
+        y = one()
+        before, now = now, rectify.mean_error(y, z)
+    assert np.allclose(seen, want) and np.allclose(x, y)
+
+
+def test_rectified_tells_what_it_did(spark):
+    rng = np.random.default_rng(0)
+    rows = [(1, s, 80.0 * s / 30 + rng.normal(0, 0.2), 5.0, 1) for s in range(500)] + [(2, s, 1.0, 1.0, 1) for s in range(3)] + [(3, s, None, 2.0, 1) for s in range(9)]
+    grid = spark.createDataFrame(rows, "id long, slot long, x double, y double, direction int")
+    for method in ("opt1", "constrained"):
+        out = rectify.rectified(grid, method).toPandas()
+        assert set(out["id"]) == {1} and set(out["status"]) <= {"solved", "not settled"} and np.diff(out.sort_values("slot")["x"]).min() > (-1e-3 if method == "constrained" else -5)
+
+
 def test_receding_windows():
     z = noisy(1, 200, 0.1, 0)
     whole, parts = rectify.least_squares(z), rectify.receding(z, 80, 40)
