@@ -169,3 +169,10 @@ def flat_name(df: DataFrame, column: str, prefix: str = "") -> DataFrame:
         else:
             out.append(F.col(".".join(f"`{p}`" for p in path)).alias(prefix + ".".join(path)))
     return df.select(*[c for c in df.columns if c != column], *out)
+
+
+def combinations(rows: DataFrame, key: str, within: str) -> DataFrame:
+    """All pairs a < b of the keys that share a value of `within`."""
+    keys = rows.select(key, within).distinct()
+    a, b = keys.select(F.col(key).alias("a"), within), keys.select(F.col(key).alias("b"), within)
+    return a.join(b, within).where("a < b").select(within, "a", "b")

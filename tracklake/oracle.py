@@ -380,6 +380,11 @@ ORACLE: dict[str, str] = {
     + """ select a_fragment_id, b_fragment_id, round(avg((ax - bx) * (ax - bx) / ((al + bl) / 2) / 8 + ln((al + bl) / 2 / sqrt(al * bl)) / 2
     + (ay - "by") * (ay - "by") / ((aw + bw) / 2) / 8 + ln((aw + bw) / 2 / sqrt(aw * bw)) / 2), 4) as cost from shared group by 1, 2""",
     "merge_components": P + COMPONENTS + " select fragment_id, component from comps",
+    "merge_by_cost": P
+    + SHARED
+    + """, lk as (select a_fragment_id as a, b_fragment_id as b from costs where cost <= 3.0), und as (select a, b from lk union select b, a from lk),
+    reach as (select fragment_id as a, fragment_id as b from fragments union select r.a, u.b from reach r join und u on r.b = u.a)
+    select a as fragment_id, min(b) as component from reach group by a""",
     "merge_combined": P + SLOTS + COMPONENTS + " select component, slot, round(avg(x), 6) as x, round(avg(y), 6) as y, count(*) as n from slots join comps using (fragment_id) group by 1, 2",
     "merge_summary": P
     + COMPONENTS
@@ -398,6 +403,15 @@ ORACLE: dict[str, str] = {
     "stitch_cost": P
     + CONE
     + """ select p.a_fragment_id, p.b_fragment_id, round(coalesce(cost, 1e6), 3) as cost from pr p left join bh using (a_fragment_id, b_fragment_id)""",
+    "stitched_greedy": P
+    + CONE
+    + """, near as (select a_fragment_id as a, b_fragment_id as b, cost from bh where cost <= 50.0),
+    ba as (select a, b from (select *, row_number() over (partition by a order by cost, b) as k from near) x where k = 1),
+    bb as (select a, b from (select *, row_number() over (partition by b order by cost, a) as k from near) x where k = 1),
+    lk as (select a, b from ba join bb using (a, b)), und as (select a, b from lk union select b, a from lk),
+    reach as (select fragment_id as a, fragment_id as b from fragments union select r.a, u.b from reach r join und u on r.b = u.a)
+    select min(b) as trajectory_id, a as fragment_id from reach group by a""",
+    "id_combinations": P + " select a.vehicle_id, a.fragment_id as a_fragment_id, b.fragment_id as b_fragment_id from fragments a join fragments b on a.vehicle_id = b.vehicle_id and a.fragment_id < b.fragment_id",
     "legacy_nll_cost": P
     + LINES
     + GAPS

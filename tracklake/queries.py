@@ -13,6 +13,8 @@ from .operators import collision, evaluate, merge, pivot, rectify, series, stitc
 from .operators import documents as D
 from .operators import graph as gr
 from .operators.joins import asof_join, gap_join, overlap_join
+from .plans import pipelines
+from .schema import Params
 from .sources import tables
 from .sources.adapter import HOUR, fragments, points, trajectories
 
@@ -671,6 +673,12 @@ def merge_components(spark, d):
     return merge.components(frs(spark, d), _links(spark, d))
 
 
+@query
+def merge_by_cost(spark, d):
+    """The whole of a merge: pairs, their cost, links of at most the threshold, components."""
+    return merge.components(frs(spark, d), merge.overlap_cost(_shared(spark, d)).where(F.col("cost") <= Params().merge_thresh))
+
+
 @query
 def merge_combined(spark, d):
     found = merge.components(frs(spark, d), _links(spark, d))
@@ -767,6 +775,43 @@ def stitched(spark, d):
     return _chains(spark, d)
 
 
+@query
+def id_combinations(spark, d):
+    """All pairs of the fragments of a vehicle."""
+    return D.combinations(frs(spark, d), "fragment_id", "vehicle_id").withColumnsRenamed({"a": "a_fragment_id", "b": "b_fragment_id"})
+
+
+def _run_summary(out):
+    """What a whole run made of its samples, one row per trajectory."""
+    return out.groupBy(F.col("fragment_id").alias("trajectory_id")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("vehicle_id").alias("n_vehicles"), F.min("direction").alias("direction"), F.min("t").alias("first_t"), F.max("t").alias("last_t")
+    )
+
+
+@query
+def one_pass(spark, d):
+    """The whole single-pass run: mask, merge by cost, stitch."""
+    return _run_summary(pipelines.one_pass(pts(spark, d), SLOT, HOUR))
+
+
+@query
+def two_passes(spark, d):
+    """The whole two-pass run: mask, then merge and stitch within each node, then across nodes."""
+    return _run_summary(pipelines.two_passes(pts(spark, d), SLOT, HOUR, D.nodes_in_order(frs(spark, d))))
+
+
+@query
+def rectify_first(spark, d):
+    """The whole run on series that are rectified first."""
+    return _run_summary(pipelines.rectify_first(pts(spark, d), SLOT, HOUR))
+
+
+@query
+def reconciled_trajectories(spark, d):
+    """A single-pass run and, as its last step, the constrained series of each trajectory."""
+    return pipelines.reconciled(pipelines.one_pass(pts(spark, d), SLOT, HOUR), SLOT)
+
+
 @query
 def stitched_greedy(spark, d):
     return stitch.stitched_greedy(frs(spark, d), gr.materialise(_stitch_costs(spark, d)), 50.0)
