@@ -30,20 +30,52 @@ def range_batches(df: DataFrame, column: str, increment: float) -> DataFrame:
     return df.crossJoin(F.broadcast(low)).withColumn("batch", F.floor((F.col(column) - F.col("_low")) / increment)).drop("_low")  # one row
 
 
-def read_simulation(spark: SparkSession, path: str, mode: str = "gt", start: float = 0, end: float = float("inf"), min_samples: int = 5) -> DataFrame:
-    """One row per vehicle of a simulation CSV. Raw mode drops masked rows; x is moved from the front to the back."""
-    rows = spark.read.csv(path, schema=SIMULATION_COLUMNS, header=True).where(F.col("timestamp").between(start, end))
+#: Feet in a metre.
+FEET = 3.2808
+#: Columns of a simulation CSV that are lengths.
+LENGTHS = ("x", "y", "length", "width", "height")
+
+
+def source_of(process: str, raw: str, stage: str) -> str:
+    """The table that a process reads: the stage table between the passes if its name speaks of a master, else the raw one."""
+    return stage if "master" in process.lower() else raw
+
+
+def read_simulation(spark: SparkSession, path: str, mode: str = "gt", start: float = 0, end: float = float("inf"), min_samples: int = 5, metres: bool = False, noise: float = 0.0, seed: int = 0, contiguous: bool = False) -> DataFrame:
+    """One row per vehicle of a simulation CSV. Raw mode drops masked rows; x is moved from the front to the back.
+
+    metres: lengths are converted to feet. noise: standard deviation of what is added to x and y, the same for the same
+    seed and row. contiguous: an id whose rows are interrupted by another's in the file comes back as a new document
+    (`part` counts them).
+    """
+    rows = spark.read.csv(path, schema=SIMULATION_COLUMNS, header=True).withColumn("_file", F.col("_metadata.file_path"))
+    if metres:
+        rows = rows.withColumns({c: F.col(c) * FEET for c in LENGTHS})
+    rows = rows.where(F.col("timestamp").between(start, end))
     key = "real_id" if mode == "gt" else "id"
     if mode == "raw":
         rows = rows.where("mask <> 0")
     rows = rows.withColumn("x", F.col("x") - F.col("direction") * F.col("length"))
-    return assemble(rows, key, min_samples)
+    if noise:
+        # A uniform number of the row, twice, makes a normal one (Box and Muller): the same wherever the row is read.
+        uniform = lambda k: (F.pmod(F.xxhash64(F.lit(seed), F.lit(k), "_file", "row"), F.lit(1 << 40)) + 1) / float((1 << 40) + 1)
+        normal = lambda k: F.sqrt(-2 * F.log(uniform(k))) * F.cos(2 * F.pi() * uniform(k + 1))
+        rows = rows.withColumns({"x": F.col("x") + noise * normal(0), "y": F.col("y") + noise * normal(2)})
+    return assemble(contiguous_parts(rows, key), key, min_samples, ("part",)) if contiguous else assemble(rows, key, min_samples)
+
+
+def contiguous_parts(rows: DataFrame, key: str, file: str = "_file", place: str = "row") -> DataFrame:
+    """Adds `part`: how often the key had been interrupted in its file before this row."""
+    before = F.lag(key).over(Window.partitionBy(file).orderBy(place))
+    rows = rows.withColumn("_begins", F.when(before.isNull() | (before != F.col(key)), 1).otherwise(0))
+    so_far = Window.partitionBy(file, key).orderBy(place).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.withColumn("part", F.sum("_begins").over(so_far) - 1).drop("_begins")
 
 
-def assemble(rows: DataFrame, key: str, min_samples: int) -> DataFrame:
+def assemble(rows: DataFrame, key: str, min_samples: int, more: Sequence[str] = ()) -> DataFrame:
     """Samples (key, timestamp, x, y, length, width, direction) as one row per key with parallel arrays."""
     sample = F.struct("timestamp", "x", "y")
-    out = rows.groupBy(key).agg(F.sort_array(F.collect_list(sample)).alias("s"), F.first("direction").alias("direction"), F.median("length").alias("length"), F.median("width").alias("width"))
+    out = rows.groupBy(key, *more).agg(F.sort_array(F.collect_list(sample)).alias("s"), F.first("direction").alias("direction"), F.median("length").alias("length"), F.median("width").alias("width"))
     series = lambda f: F.transform("s", lambda v: v[f])
     ends = {"first_timestamp": F.element_at("s", 1)["timestamp"], "last_timestamp": F.element_at("s", -1)["timestamp"], "starting_x": F.element_at("s", 1)["x"], "ending_x": F.element_at("s", -1)["x"]}
     out = out.where(F.size("s") >= min_samples).withColumns({**ends, "x_position": series("x"), "y_position": series("y")})
@@ -90,3 +122,17 @@ def run_record(spark: SparkSession, run_id: str, params: Params) -> DataFrame:
 
 def write_results(df: DataFrame, path: str, run_id: str) -> None:
     df.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").parquet(path)
+
+
+def read_results(spark: SparkSession, path: str, run_id: str) -> DataFrame:
+    """The rows that a run wrote; run_id is a partition column, so other runs' files aren't read."""
+    return spark.read.parquet(path).where(F.col("run_id") == run_id).drop("run_id")
+
+
+def bulk_sink(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Writes a stream in bulk, one unordered write for each micro-batch; a batch that is done again replaces what it wrote."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
