@@ -334,6 +334,35 @@ def test_receding_windows():
         rectify.solve(np.array([1.0, 2.0, 3.0]))
 
 
+def test_pollution(spark):
+    """Stretches, fragments and outliers against the rule, from the samples that were chosen."""
+    from tracklake.operators import synthetic
+
+    rows = [(k, s, float(s), 5.0, 16.0, 4.0) for k in (3, 4) for s in range(500)]
+    points = spark.createDataFrame(rows, "id long, s long, x double, y double, length double, width double")
+    one, again, other = (synthetic.polluted(points, "id", "s", 12.0, 0.02, seed).orderBy("id", "s").collect() for seed in (1, 1, 2))
+    assert one == again and one != other and len(one) == 1000
+    for k in (3, 4):
+        own = [r for r in one if r.id == k]
+        assert sum(r.outlier for r in own) == 10 and any(r.x is None for r in own) and own[0].s == 0
+        ids = [r.fragment_id for r in own]
+        assert set(ids) <= {k, *(1000 * k + j for j in range(5))} and max(ids) > k
+        assert all((r.x != r.s) == r.outlier for r in own if r.x is not None)
+        assert [i for i in ids if i > k] == sorted(i for i in ids if i > k)
+
+
+def test_older_preparation(spark):
+    from tracklake.plans import legacy
+
+    rows = [(1, f, None if f % 2 else f / 10, 3.281 * f, 3.281 * 30, 3.281 * f, 3.281 * 32, 32.81, 6.562) for f in range(5)] + [(2, f, f / 10, -3.281 * f, 3.281 * 30, -3.281 * f, 3.281 * 32, 32.81, 6.562) for f in range(5)]
+    df = spark.createDataFrame(rows, "id long, frame long, t double, bbr_x double, bbr_y double, bbl_x double, bbl_y double, length double, width double")
+    out = {(r.id, r.frame): r for r in legacy.prepared(df, lanes=True).collect()}
+    assert out[1, 3].x == pytest.approx(3) and out[1, 3].y == pytest.approx(31) and out[1, 3].t == pytest.approx(0.3) and out[1, 3].length == pytest.approx(10)
+    assert {r.direction for (k, _), r in out.items() if k == 1} == {1} and {r.direction for (k, _), r in out.items() if k == 2} == {-1} and out[1, 0].lane is not None
+    short = legacy.prepared(df.withColumn("t", F.lit(None).cast("double")).withColumn("bbr_y", F.lit(4.0))).where("id = 1 and frame = 3").first()
+    assert short.t == pytest.approx(0.1) and short.length == pytest.approx(32.81)
+
+
 def test_smoothers():
     v = np.arange(40.0) ** 3
     assert np.allclose(rectify.savitzky_golay(v, 9), v)

@@ -4,6 +4,7 @@ import math
 import os
 
 import duckdb
+import numpy as np
 import pytest
 
 from tracklake.oracle import ORACLE
@@ -42,5 +43,44 @@ def test_runs(spark, name):
     assert df.columns and df.count() >= 0
 
 
+def test_stitched_chains_partition_the_fragments(spark):
+    rows = REGISTRY["stitched"](spark, SF).collect()
+    want = {r.fragment_id for r in REGISTRY["fragments_all"](spark, SF).select("fragment_id").distinct().collect()}
+    assert {r.fragment_id for r in rows} == want and len(rows) == len(want)
+    chains = {}
+    for r in rows:
+        chains.setdefault(r.trajectory_id, []).append((r.place, r.fragment_id))
+    assert all([p for p, _ in sorted(c)] == list(range(len(c))) and min(c)[1] == k for k, c in chains.items())
+    assert any(len(c) > 1 for c in chains.values())
+
+
+def test_separated_boxes_do_not_overlap(spark):
+    from itertools import combinations
+
+    from tracklake.operators.collision import sides
+    from tracklake.queries import _crowd
+
+    size = {(r.slot, r.fragment_id): (r.l, r.w) for r in _crowd(spark, SF).collect()}
+    slots = {}
+    for r in REGISTRY["separatum"](spark, SF).collect():
+        slots.setdefault((r.slot, r.direction), []).append(np.array([r.cx, r.cy, *size[r.slot, r.fragment_id]], float))
+    assert slots and all(sides(a, b).any() for boxes in slots.values() for a, b in combinations(boxes, 2))
+
+
+def test_rectified_series_are_stationary(spark):
+    """opt1: the gradient of the objective is zero at every sample of every series."""
+    from tracklake.operators import rectify
+    from tracklake.queries import _rect_grid
+
+    given = _rect_grid(spark, SF).toPandas().sort_values(["id", "slot"])
+    found = REGISTRY["rectified_opt1"](spark, SF).toPandas().sort_values(["id", "slot"])
+    assert set(found["status"]) == {"solved"} and len(found)
+    for number, own in found.groupby("id"):
+        z = given[given["id"] == number]["x"].to_numpy(float)
+        q, seen, m = rectify._quadratic(z, 0.0, 1e-7, rectify.DT)
+        base = np.nanmin(z)
+        assert np.abs(q @ (own["x"].to_numpy() - base) - np.where(seen, z - base, 0) / m).max() < 1e-5 * max(1.0, np.nanmax(z) - base)
+
+
 def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(REGISTRY)

@@ -219,3 +219,9 @@ def valid_tracks(tracks: DataFrame, key: str, ratio: float = 0.4, border: int =
 def metrics(df: DataFrame, registry: Mapping[str, Column], key: str) -> DataFrame:
     """One row per key with the named aggregates: where users add their own."""
     return df.groupBy(key).agg(*[c.alias(n) for n, c in registry.items()])
+
+
+def moments(rows: DataFrame, metric: Column, by: str) -> DataFrame:
+    """mean, mean_size (of the absolute values), sd and most (the largest absolute value) of a metric, per group."""
+    r = lambda c: F.round(c, 6)
+    return rows.groupBy(by).agg(r(F.avg(metric)).alias("mean"), r(F.avg(F.abs(metric))).alias("mean_size"), r(F.stddev_pop(metric)).alias("sd"), r(F.max(F.abs(metric))).alias("most"))

@@ -412,6 +412,11 @@ ORACLE: dict[str, str] = {
     reach as (select fragment_id as a, fragment_id as b from fragments union select r.a, u.b from reach r join und u on r.b = u.a)
     select min(b) as trajectory_id, a as fragment_id from reach group by a""",
     "id_combinations": P + " select a.vehicle_id, a.fragment_id as a_fragment_id, b.fragment_id as b_fragment_id from fragments a join fragments b on a.vehicle_id = b.vehicle_id and a.fragment_id < b.fragment_id",
+    "moments": P + " select direction, round(avg(y - 36), 6) as mean, round(avg(abs(y - 36)), 6) as mean_size, round(stddev_pop(y - 36), 6) as sd, round(max(abs(y - 36)), 6) as most from points group by 1",
+    "dimensions_of_class": P
+    + """, k as (select event_id, case when event_id % 9 = 4 then 'SUV' when event_id % 9 = 5 then 'truck' when event_id % 9 = 6 then 'trailer' when event_id % 9 = 7 then 'bus' else 'sedan' end as kind from points)
+    select event_id, kind, case kind when 'truck' then 8.0::double when 'bus' then 12.0::double when 'trailer' then 12.0::double else 4.5::double end as length,
+    case kind when 'sedan' then 1.7::double when 'SUV' then 1.9::double when 'truck' then 2.0::double else 2.2::double end as width from k""",
     "legacy_nll_cost": P
     + LINES
     + GAPS

@@ -9,7 +9,7 @@ from .functions import geometry as G
 from .functions import kinematics as K
 from .functions.cost import coefficient, fold, nll
 from .operators import cleaning as C
-from .operators import collision, evaluate, merge, pivot, rectify, series, stitch
+from .operators import collision, evaluate, merge, pivot, rectify, series, stitch, synthetic
 from .operators import documents as D
 from .operators import graph as gr
 from .operators.joins import asof_join, gap_join, overlap_join
@@ -889,6 +889,28 @@ def rolling_collision(spark, d):
 # --- evaluation ----------------------------------------------------------------------------------------------
 
 
+@query
+def moments(spark, d):
+    """Mean, mean size, deviation and largest size of a metric, per direction."""
+    return evaluate.moments(pts(spark, d), F.col("y") - 36, "direction")
+
+
+@query
+def dimensions_of_class(spark, d):
+    """Kinds of vehicle and their dimensions, from class numbers; what is no number counts as 1."""
+    p = pts(spark, d).select("event_id", F.when(F.col("event_id") % 9 == 0, F.lit("x")).otherwise((F.col("event_id") % 9).cast("string")).alias("c"))
+    k = synthetic.kind(F.col("c"))
+    return p.select("event_id", k.alias("kind"), synthetic.dimension(k, 0).alias("length"), synthetic.dimension(k, 1).alias("width"))
+
+
+@query
+def polluted_tracks(spark, d):
+    """Whole vehicles with missing stretches and outliers put in, and the fragments that come of it."""
+    p = pts(spark, d).select(F.col("vehicle_id"), "event_id", F.struct("t", "event_id").alias("at"), (F.col("x_cents") / 100).alias("x"), "y", "length", "width")
+    out = synthetic.polluted(p, "vehicle_id", "at", 10.0, 0.01)
+    return out.select("vehicle_id", "event_id", "fragment_id", r6("x").alias("x"), r6("y").alias("y"), "outlier")
+
+
 def _scores(spark, d):
     p = hours(spark, d).select("fragment_id", F.col("th").alias("t"), "event_id", "x", "y", "direction")
     return evaluate.feasibility(p, "fragment_id", 2000.0, _each_conflict(spark, d))
