@@ -1,4 +1,9 @@
-"""The training-corpus pipeline: each stage is written as Parquet and reread as the next one's docs."""
+"""The training-corpus pipeline: each stage is written as Parquet and reread as the next one's docs.
+
+All stages: null or repeated doc_ids are allowed, as rows are told by themselves; texts of any length are worked on whole;
+columns of any name are carried along; an empty table gives an empty one. Null text has no language, so it goes in the
+first stage; later stages alone would keep it (as empty text).
+"""
 
 from __future__ import annotations
 
