@@ -203,6 +203,14 @@ def test_assignment(lengths):
         assert at == n
 
 
+def test_other_columns_do_not_matter(docs):
+    """Columns named like those of a result, or like what operators use inside, change nothing."""
+    crowded = docs.withColumns({c: docs["n_chars"] for c in ("n_tokens", "ids_sha256", "start", "length", "sequence_id", "offset", "n_edits", "row", "held_out")})
+    for run in (word_codec.encode, token_counts.count_tokens, packing.pack):
+        plain = run(docs.select("doc_id", "text"))
+        assert collected(run(crowded), *plain.columns) == collected(plain, *plain.columns)
+
+
 def test_empty_tables(empty):
     for run in (word_codec.encode, token_counts.count_tokens, packing.pack):
         assert run(empty).count() == 0

@@ -41,7 +41,7 @@ def format_chats(conversations: DataFrame) -> DataFrame:
     every row counts as a turn. Null role or text is empty; a null turn comes first; rows with a null
     conv_id form one conversation whose id is null and which counts as the smallest. n_logged is the
     number of equal conversations, of which the one with the smallest id is rendered. An empty table
-    gives no rows; other columns are ignored.
+    gives no rows; other columns are ignored, whatever their names. Texts of any length are taken whole.
     """
     has_columns(conversations, "conv_id", "turn", "role", "text")
     prefixes = _prefixes(conversations.select(internal_id("conv_id").alias("conv"), "turn", "role", "text"))

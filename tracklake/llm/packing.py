@@ -120,8 +120,9 @@ def pack(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """One row for each piece: where it starts in its document, and where it lies in which sequence.
 
     A null text is empty and still has its end id; a null doc_id stays null; repeated rows are packed
-    each for itself; an empty table gives no rows; other columns are ignored. sequence_id tells the
-    partition (high bits) and the sequence in it.
+    each for itself; an empty table gives no rows; other columns are ignored, whatever their names. A document of any length
+    is cut into pieces. Of equally long documents the earlier is placed first, into the first of equally cheap
+    sequences. sequence_id tells the partition (high bits) and the sequence in it.
     """
     has_columns(docs, "doc_id", "text")
     vocabulary = vocabulary or public_tokenizers.path("byte_bpe_50k.json")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import batch, has_columns
-from .vocab import byte_bpe
+from .vocab import byte_bpe, library
 
 #: Characters in a leaf, about.
 LEAF_CHARS = 512
@@ -148,6 +148,9 @@ def edits_of(doc_id: int, length: int, text: str) -> list[Edit]:
 def _counted(vocabulary: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = byte_bpe(vocabulary)
+        for token in library(vocabulary).get_added_tokens_decoder().values():
+            if _SAFE.search(token.content):
+                raise ValueError(f"the vocabulary's token {token.content!r} can be cut at a safe place")
         for b in batches:
             rows = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
@@ -169,8 +172,9 @@ def count_tokens(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
 
     doc_id, n_tokens, n_edits, n_tokens_edited, n_chars, n_chars_edited, n_chars_encoded (characters
     re-encoded for the edits). Null text is empty and is edited like any other; a null doc_id stays null
-    (its edits are those of 0); repeated rows are each counted; an empty table gives no rows; other
-    columns are ignored.
+    (its edits are those of 0); repeated rows are each counted, to the same result; an empty table gives no rows; other
+    columns are ignored, whatever their names. A text of any length is one tree; edits at the same place are applied in
+    their order.
     """
     has_columns(docs, "doc_id", "text")
     vocabulary = vocabulary or public_tokenizers.path("byte_bpe_50k.json")
