@@ -25,9 +25,11 @@ NO_ID = -(1 << 63)  # stands for a null doc_id inside an operator
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a temporary one only where none is set."""
+    """The shared folder named by spark.checkpoint.dir; a temporary one only where none is set and all runs on one machine."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir names no shared folder")
         found = tempfile.mkdtemp(prefix="tracklake-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

@@ -203,14 +203,18 @@ class Tree:
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         """The classes of rows of FEATURES; features that are left out at the end of the rows are 0."""
-        x = np.pad(x, ((0, 0), (0, max(0, len(FEATURES) - x.shape[1]))))
-        if self.feature is None:
-            return np.full(len(x), self.value)
-        left = x[:, self.feature] <= self.cut
         out = np.empty(len(x), int)
-        out[left], out[~left] = self.low.predict(x[left]), self.high.predict(x[~left])
+        self._fill(np.pad(x, ((0, 0), (0, max(0, len(FEATURES) - x.shape[1])))), np.arange(len(x)), out)
         return out
 
+    def _fill(self, x: np.ndarray, rows: np.ndarray, out: np.ndarray) -> None:
+        if self.feature is None:
+            out[rows] = self.value
+        elif len(rows):
+            left = x[rows, self.feature] <= self.cut
+            self.low._fill(x, rows[left], out)
+            self.high._fill(x, rows[~left], out)
+
 
 def table() -> tuple[np.ndarray, np.ndarray]:
     """The labelled blocks: a row of FEATURES, and whether it belongs to the article."""
@@ -224,11 +228,20 @@ def tree() -> Tree:
     return Tree(*table())
 
 
+def main_texts(pages: list[str | None], classifier: Tree | None = None) -> list[str]:
+    """The text of each page; the blocks of all of them are classified at once."""
+    own = [blocks(html) if html else [] for html in pages]
+    some = [b for b in own if b]
+    kept = (classifier or tree()).predict(np.concatenate([describe(b) for b in some])).tolist() if some else []
+    out, at = [], 0
+    for b in own:
+        out.append("\n".join([x[0] for x, keep in zip(b, kept[at : at + len(b)], strict=True) if keep]))
+        at += len(b)
+    return out
+
+
 def main_text(html: str | None, classifier: Tree | None = None) -> str:
-    own = blocks(html or "")
-    if not own:
-        return ""
-    return "\n".join(b[0] for b, keep in zip(own, (classifier or tree()).predict(describe(own)), strict=True) if keep)
+    return main_texts([html], classifier)[0]
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -246,7 +259,7 @@ def extract(pages: DataFrame) -> DataFrame:
         for b in batches:
             for a in range(0, len(b), 256):
                 part = b.slice(a, 256)
-                texts = [main_text(x, classifier) for x in part.column(2).to_pylist()]
+                texts = main_texts(part.column(2).to_pylist(), classifier)
                 yield batch(_RESULT_ARROW, part.column(0), part.column(1), texts, [len(t) for t in texts])
 
     return pages.selectExpr("cast(page_id as long) as page_id", "url", "html").mapInArrow(run, "page_id long, url string, text string, n_chars long")
