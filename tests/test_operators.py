@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tracklake import schema
 from tracklake.functions import geometry, kinematics
-from tracklake.operators import collision, documents, evaluate, graph, merge, pivot, rectify, series, stitch
+from tracklake.operators import cleaning, collision, documents, evaluate, graph, merge, pivot, rectify, series, stitch
 from tracklake.operators.joins import asof_join, gap_join, overlap_join
 
 
@@ -19,6 +19,15 @@ def collected(df):
     return sorted(map(tuple, df.collect()))
 
 
+# --- cleaning
+
+
+def test_mapped_time_of_many_frames(spark):
+    day = 86_400_000_000
+    p = spark.createDataFrame([(0, 0), (3_000_000, 20 * day), (6_000_000, 30 * day)], "frame long, t long")
+    assert collected(cleaning.mapped_time(p, "frame", "t").select("frame", "mapped_t")) == [(0, 0.0), (3_000_000, 15.0 * day), (6_000_000, 30.0 * day)]
+
+
 # --- graph structures
 
 

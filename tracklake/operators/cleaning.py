@@ -94,7 +94,10 @@ def mapped_time(points: DataFrame, frame: str, t: str) -> DataFrame:
     """Adds mapped_t: time as the straight line of the frame number through the first and last frames."""
     ends = points.agg(F.min(frame).alias("f0"), F.max(frame).alias("f1"), F.min_by(t, frame).alias("t0"), F.max_by(t, frame).alias("t1"))
     rows = points.crossJoin(F.broadcast(ends))  # one row
-    return rows.withColumn("mapped_t", F.col("t0") + (F.col("t1") - F.col("t0")) * (F.col(frame) - F.col("f0")) / F.nullif(F.col("f1") - F.col("f0"), F.lit(0))).drop("f0", "f1", "t0", "t1")
+    span, at = F.col("t1") - F.col("t0"), F.col(frame) - F.col("f0")
+    if all(kind == "bigint" for name, kind in rows.select("t0", "f0").dtypes):  # their product can be larger than a long
+        span, at = span.cast("decimal(19,0)"), at.cast("decimal(19,0)")
+    return rows.withColumn("mapped_t", F.col("t0") + (span * at).cast("double") / F.nullif(F.col("f1") - F.col("f0"), F.lit(0))).drop("f0", "f1", "t0", "t1")
 
 
 def extended(ends: DataFrame, key: str, frames: tuple[int, int], edges: tuple[float, float], most: int = 1000) -> DataFrame:

@@ -354,7 +354,8 @@ def first_of_repeats(spark, d):
 def frame_time_map(spark, d):
     p = pts(spark, d).select("event_id", "t", F.floor(F.col("t") / HOUR).alias("frame"))
     m = C.mapped_time(p, "event_id", "t")
-    return m.select("event_id", r6((F.col("mapped_t") - F.col("t")) / HOUR).alias("shift"))
+    # Shifts are parts of whole microseconds, so many lie half-way between two numbers of six places: scaled before, as SQL does.
+    return m.select("event_id", (F.round((F.col("mapped_t") - F.col("t")) / HOUR * 1e6) / 1e6).alias("shift"))
 
 
 @query
