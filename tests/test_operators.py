@@ -22,6 +22,17 @@ def collected(df):
 # --- cleaning
 
 
+def test_samples_on_a_bound_stay(spark):
+    """k values of one track; the one on 1.5 standard deviations is decided by no order of summing."""
+    ks = [99, 3, 98, 37, 96, 34, 53, 21, 53, 8, 47, 75, 23]
+    n, s, q = len(ks), sum(ks), sum(k * k for k in ks)
+    want = sum(4 * (n * k - s) ** 2 <= 9 * (n * q - s * s) for k in ks)
+    assert any(4 * (n * k - s) ** 2 == 9 * (n * q - s * s) for k in ks)
+    for order in (ks, ks[::-1], sorted(ks)):
+        p = spark.createDataFrame([(1, k * 72 / 100.0) for k in order], "v long, y double").coalesce(1)
+        assert p.select(cleaning.null_beyond(F.col("y"), "v", 1.5).alias("y")).where("y is not null").count() == want
+
+
 def test_mapped_time_of_many_frames(spark):
     day = 86_400_000_000
     p = spark.createDataFrame([(0, 0), (3_000_000, 20 * day), (6_000_000, 30 * day)], "frame long, t long")

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Share of a bound within which doubles are taken to lie on it; sums of doubles err by less.
+BOUND_MARGIN = 1e-12
+
 
 def whole(key: str):
     return Window.partitionBy(key)
@@ -40,9 +43,12 @@ def right_direction(points: DataFrame, y: Column, direction: Column, key: str =
 
 
 def null_beyond(x: Column, key: str, sds: float = 2) -> Column:
-    """Null where further than so many standard deviations from the track's mean."""
+    """Null where further than so many standard deviations from the track's mean.
+
+    What lies on the bound stays: without the margin, the order in which rows are summed would decide there.
+    """
     w = whole(key)
-    return F.when(F.abs(x - F.avg(x).over(w)) <= sds * F.stddev_pop(x).over(w), x)
+    return F.when(F.abs(x - F.avg(x).over(w)) <= sds * F.stddev_pop(x).over(w) * (1 + BOUND_MARGIN), x)
 
 
 def off_line(points: DataFrame, t: Column, xs: Sequence[str], key: str, low: float = 0.1, high: float = 0.9) -> DataFrame:
