@@ -40,6 +40,22 @@ def test_two_passes(samples):
     checked(pipelines.two_passes(samples, SLOT, HOUR, nodes_in_order(fragments(samples))), samples)
 
 
+def test_a_merged_fragment_ends_with_its_last_vehicle(spark):
+    """Fragment 1 holds vehicle 1 up to hour 10 and vehicle 2 up to hour 40; nothing that begins at 14 follows it, what begins at 44 may."""
+    from tracklake.schema import Params
+
+    row = lambda f, v, h: (f * 1000 + v * 100 + h, h * HOUR, v, f, 1, v % 2, h * 1000 + f, 10.0 + h / 10, 0.9, 15.0 + v, 6.0)
+    rows = [row(f, v, h) for f, v, hours in ((1, 1, range(0, 12, 2)), (1, 2, range(8, 42, 2)), (2, 3, range(14, 36, 2)), (3, 1, range(44, 60, 2))) for h in hours]
+    p = spark.createDataFrame(rows, "event_id long, t long, vehicle_id long, fragment_id long, direction int, compute_node_id long, x_cents long, y double, conf double, length double, width double")
+    joined = pipelines.merged(p.withColumn("fragment_id", F.col("fragment_id") * 10 + F.col("vehicle_id")).where("fragment_id < 20"), SLOT, 20 * HOUR, Params().merge_thresh, ("direction",))
+    assert {tuple(r) for r in joined.select("fragment_id", "compute_node_id").distinct().collect()} == {(11, 1)}
+    whole = joined.withColumn("fragment_id", F.lit(1).cast("long")).unionByName(p.where("fragment_id > 1").withColumn("compute_node_id", F.lit(1).cast("long")))
+    assert [(r.fragment_id, r.first_t, r.last_t) for r in pipelines.fragments_of(whole).orderBy("fragment_id").collect()] == [(1, 0, 40 * HOUR), (2, 14 * HOUR, 34 * HOUR), (3, 44 * HOUR, 58 * HOUR)]
+    out = pipelines.stitched(whole, HOUR, 20.0, 50.0, "local")
+    chains = {tuple(r) for r in out.join(p.select("event_id", F.col("fragment_id").alias("own")), "event_id").select("own", "fragment_id").distinct().collect()}
+    assert (2, 2) in chains and len(chains) == 3 and out.count() == p.count()
+
+
 def test_stitched_chains_keep_gaps(samples):
     from tracklake.operators import stitch
 
