@@ -6,6 +6,7 @@ import os
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tracklake.oracle import ORACLE
 from tracklake.queries import REGISTRY
@@ -82,5 +83,34 @@ def test_rectified_series_are_stationary(spark):
         assert np.abs(q @ (own["x"].to_numpy() - base) - np.where(seen, z - base, 0) / m).max() < 1e-5 * max(1.0, np.nanmax(z) - base)
 
 
+@pytest.mark.parametrize("name", ["grid_track_join", "merge_cost", "merge_cost_simple", "merge_cost_samples", "stitch_cost", "legacy_nll_cost"])
+def test_pairs_stream_out_of_their_join(spark, name):
+    """Pairs grow with the square of what is in one window: above their join nothing sorts, groups, writes or joins them."""
+    plan = REGISTRY[name](spark, SF)._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() in ("Project", "Filter"):
+        plan = plan.children().head()
+    assert plan.nodeName() == "Join" and "_bucket" in plan.condition().toString()
+
+
+@pytest.mark.parametrize("name", ["stitched", "stitched_greedy", "combined"])
+def test_only_pairs_that_may_be_linked_are_written(spark, name, monkeypatch):
+    from tracklake.operators import graph
+
+    written = []
+    monkeypatch.setattr(graph, "materialise", lambda df, f=graph.materialise: written.append(f(df)) or written[-1])
+    REGISTRY[name](spark, SF)
+    costs = [df for df in written if "cost" in df.columns]
+    assert costs and all(df.where("cost > 50").isEmpty() for df in costs)
+
+
+def test_halves_round_as_in_sql(spark, duck):
+    from tracklake.queries import scaled6
+
+    gap = [57848903001 + 3600 * k for k in range(2000)]
+    found = spark.createDataFrame([(g,) for g in gap], "g long").select(scaled6(0.5 * (F.col("g") / float(3_600_000_000) - 2)).alias("r")).collect()
+    want = duck.execute("select round(0.5 * (cast(g as double) / 3600000000 - 2), 6) from (select unnest(?::bigint[]) as g)", [gap]).fetchall()
+    assert [r.r for r in found] == [w[0] for w in want]
+
+
 def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(REGISTRY)
