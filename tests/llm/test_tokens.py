@@ -52,6 +52,21 @@ def test_codecs_on_any_text(library, text):
 WIDE = ["the", "Straße", "ΟΔΥΣΣΕΥΣ", "привет", "Мир", "日本語", "한국어", "हिन्दी", "🙂", "👍🏽", "e\u0301", "\u0301", "\u180e", "\u200b", "\u2003", "\u3000", "\x1c", "\x1f", "\x85", "<|endoftext|>", "'s", "'LL", "Ⅷ", "½", "१२", "\u10a0", "\u13a0", "İ", "\U0001e900", "ﬁ", " ", "\n", "x" * 60, "-", "漢" * 30]
 
 
+def test_frequent_segments_are_worked_out_once(library, monkeypatch):
+    """A memory that is full of segments seen once forgets those, not the one that every text has."""
+    monkeypatch.setattr(word_codec, "CACHED_SEGMENTS", 8)
+    codec = word_codec.Codec(word_codec.compile_lexicon({"the": word_codec.Merger(WORD).merge("the")}), WORD)
+    asked = []
+    monkeypatch.setattr(codec.merger, "split", lambda s, f=codec.merger.split: asked.append(s) or f(s))
+    texts = ["always " + " ".join(f"once{k}x{i} Mixed{k}" for i in range(3)) + " ... \x1c" for k in range(30)]
+    exact = library[WORD]
+    for t in texts:
+        n, ids, decoded = next(codec.encode([t]))
+        want = exact.encode(t, add_special_tokens=False).ids
+        assert (n, ids, decoded) == (len(want), " ".join(map(str, want)), exact.decode(want, skip_special_tokens=False))
+    assert asked.count("always") == 1 and len(codec.ids) < 30
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from(WIDE), max_size=12).map("".join), st.text(max_size=30))
 def test_word_codec_on_every_script(library, mixed, any_text):

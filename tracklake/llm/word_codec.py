@@ -99,19 +99,22 @@ class Merger:
         self.pair = {self.ids[a] << 20 | self.ids[b]: k << 20 | self.ids[a + b] for k, (a, b) in enumerate(merges)}
         self.letter = [self.ids[x] for x in byte_letters()]
         self.last = [self.ids[x + END] for x in byte_letters()]
+        #: The merge of each two bytes inside a word.
+        self.first = [self.pair.get(a << 20 | b, _NONE) for a in self.letter for b in self.letter]
         self.words = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
         self.tokens = {i: t for t, i in self.ids.items()}
         added = library(path).get_added_tokens_decoder()
         self.tokens |= {i: t.content for i, t in added.items()}
-        self.special = [t.content for t in added.values()]
+        self.special = re.compile("|".join(re.escape(t.content) for t in added.values()) or "(?!)").search
 
     def plain(self, segment: str) -> bool:
-        return (segment.isascii() and segment.isprintable() or _SURE.fullmatch(segment) is not None) and not any(s in segment for s in self.special)
+        return (segment.isascii() and segment.isprintable() or _SURE.fullmatch(segment) is not None) and self.special(segment) is None
 
     def split(self, segment: str) -> list[str]:
         # A tokenizer lower-cases each character for itself: no sigma is final.
-        own = segment if segment.isascii() else unicodedata.normalize("NFC", segment).replace("Σ", "σ")
-        return self.words(own.lower())
+        if segment.isascii():
+            return [segment.lower()] if segment.isalpha() else self.words(segment.lower())
+        return self.words(unicodedata.normalize("NFC", segment).replace("Σ", "σ").lower())
 
     def merge(self, word: str) -> list[int]:
         """The ids of a word: again and again its earliest pair is merged, the first of equals in front."""
@@ -120,19 +123,18 @@ class Merger:
         parts[-1] = self.last[raw[-1]]
         if len(parts) > HEAPED:
             return self._merge_by_heap(parts)
-        get = self.pair.get
-        pairs = [get(a << 20 | b, _NONE) for a, b in itertools.pairwise(parts)]
-        while pairs:
-            least = min(pairs)
-            if least == _NONE:
-                break
+        get, first = self.pair.get, self.first
+        pairs = [first[a << 8 | b] for a, b in itertools.pairwise(raw)]
+        if pairs:
+            pairs[-1] = get(parts[-2] << 20 | parts[-1], _NONE)
+        while pairs and (least := min(pairs)) != _NONE:
             i = pairs.index(least)
-            parts[i] = least & 0xFFFFF
+            parts[i] = now = least & 0xFFFFF
             del parts[i + 1], pairs[i]
             if i < len(pairs):
-                pairs[i] = get(parts[i] << 20 | parts[i + 1], _NONE)
+                pairs[i] = get(now << 20 | parts[i + 1], _NONE)
             if i:
-                pairs[i - 1] = get(parts[i - 1] << 20 | parts[i], _NONE)
+                pairs[i - 1] = get(parts[i - 1] << 20 | now, _NONE)
         return parts
 
     def _merge_by_heap(self, parts: list[int]) -> list[int]:
@@ -262,31 +264,53 @@ class Codec:
         self.text: dict[str, str] = {}  # and what they decode to
         self.blank: set[str] = set()
         self.chars = 0
+        self.before: tuple[dict[str, str], ...] = ({}, {}, {}, {})  # the memory of the time before, in the same order
+
+    def turn(self) -> None:
+        """Forgets what has not been seen since the last turn; what comes often is never worked out again."""
+        before = self.word_ids, self.word_text, self.ids, self.text
+        self.forget()
+        self.before = before
 
     def _tell(self, ids: list[int]) -> tuple[str, str]:
         return " ".join(map(str, ids)), self.merger.decode(ids)
 
     def learn(self, new: list[str]) -> None:
-        """Works out segments that are not known yet."""
+        """Works out segments that are not known yet, or takes them over from the time before."""
+        old_word_ids, old_word_text, old_ids, old_text = self.before
+        for s in new:
+            self.chars += len(s)
+            if s in old_ids:
+                self.ids[s], self.text[s] = old_ids[s], old_text[s]
+                if not old_ids[s]:
+                    self.blank.add(s)
+        if old_ids:
+            new = [s for s in new if s not in old_ids]
         split = {s: self.merger.split(s) for s in new if self.merger.plain(s)}
         words = [w for w in dict.fromkeys(itertools.chain.from_iterable(split.values())) if w not in self.word_ids]
+        for w in words:
+            if w in old_word_ids:
+                self.word_ids[w], self.word_text[w] = old_word_ids[w], old_word_text[w]
+        words = [w for w in words if w not in self.word_ids]
         for word, number in zip(words, self.lexicon.numbers(words).tolist() if words else [], strict=True):
             self.word_ids[word], self.word_text[word] = self._tell(self.lexicon.ids(number) if number >= 0 else self.merger.merge(word))
         for s in new:
-            if s in split:
-                self.ids[s], self.text[s] = " ".join([self.word_ids[w] for w in split[s]]), " ".join([self.word_text[w] for w in split[s]])
+            if (own := split.get(s)) is not None:
+                if len(own) == 1:
+                    self.ids[s], self.text[s] = self.word_ids[own[0]], self.word_text[own[0]]
+                else:
+                    self.ids[s], self.text[s] = " ".join([self.word_ids[w] for w in own]), " ".join([self.word_text[w] for w in own])
             else:
                 ids = self.exact.encode(s, add_special_tokens=False).ids
                 self.ids[s], self.text[s] = " ".join(map(str, ids)), self.exact.decode(ids, skip_special_tokens=False)
             if not self.ids[s]:
                 self.blank.add(s)
-            self.chars += len(s)
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[int, str, str]]:
         """(number of ids, ids joined by a space, decoded text) of each text."""
         split = [segments(t) if t else [] for t in texts]
-        if len(self.ids) > CACHED_SEGMENTS or self.chars > CACHED_CHARS:
-            self.forget()
+        if len(self.ids) > CACHED_SEGMENTS // 2 or self.chars > CACHED_CHARS // 2:
+            self.turn()
         self.learn([s for s in dict.fromkeys(itertools.chain.from_iterable(split)) if s not in self.ids])
         for own in split:
             if self.blank:
