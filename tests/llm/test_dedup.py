@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -78,6 +79,53 @@ def test_near_in_blocks_and_with_frequent_members(docs, rows, monkeypatch):
     assert collected(ngram_join.near_groups(docs), "doc_id", "n_shingles", "component_id") == near(rows)
 
 
+@pytest.mark.parametrize("most", [1, 2, 5])
+def test_near_with_large_postings(docs, rows, monkeypatch, most):
+    """Postings of more than a few classes are cut into tiles, and those into blocks; the others give pairs."""
+    monkeypatch.setattr(ngram_join, "LARGE_POSTING", most)
+    monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 2)
+    assert collected(ngram_join.near_groups(docs), "doc_id", "n_shingles", "component_id") == near(rows)
+
+
+def test_near_compares_nothing_along_a_chain(spark, monkeypatch):
+    """Texts that only share a line with the next one are one component of candidates, but no tile holds them."""
+    line = lambda i: " ".join(f"w{i}x{k}" for k in range(12))
+    rows = [(i, " ".join(line(j) for j in (i, i + 1, 1000 + i, 2000 + i))) for i in range(120)] + [(500, line(1) + " " + line(2)), (501, line(1) + " " + line(2) + " end")]
+    dealt, links = [], ngram_join._links
+    monkeypatch.setattr(ngram_join, "_links", lambda classes, *more, **how: dealt.append(classes.count()) or links(classes, *more, **how))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert collected(ngram_join.near_groups(docs), "doc_id", "n_shingles", "component_id") == near(rows)
+    assert dealt == [0, 2]
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.integers(1, 600), st.floats(0.8, 1.0), st.integers(0, 99), st.sampled_from([1, 3, 64]))
+def test_postings_give_every_link(n, share, seed, most):
+    """Sets that link are given as often as they need to be, or lie in one large run."""
+    rng = np.random.default_rng(seed)
+    x = rng.choice(10**6, n, replace=False)
+    sets = [np.sort(x)] + [np.union1d(x[rng.random(n) < share], rng.choice(10**6, int(n * (1 - share)))) for _ in range(5)]
+    sets = [s.astype(np.uint64) for s in sets if len(s)]
+    parts = []
+    for i, s in enumerate(sets):
+        size = np.array([len(s)])
+        reach = int((ngram_join.prefix_length(size) + ngram_join.needed(size) - 1)[0])
+        assert reach <= len(s)
+        parts.append(np.concatenate([s[:reach], np.full(reach, i + 1, np.uint64), (len(s) << 32 | np.arange(reach)).astype(np.uint64)]).tobytes())
+    out = ngram_join._postings(pa.table({"postings": pa.array(parts, pa.binary())}), most).to_pylist()
+    times = {frozenset((r["u"], r["v"])): r["times"] for r in out if r["times"]}
+    runs = defaultdict(set)
+    for r in out:
+        if not r["times"]:
+            runs[r["v"]].add(r["u"])
+    for i, s in enumerate(sets):
+        for j in range(i):
+            both, least = len(np.intersect1d(s, sets[j])), min(len(s), len(sets[j]))
+            if 100 * both >= 80 * (len(s) + len(sets[j]) - both):
+                wanted = ngram_join.needed(np.array([least]))[0]
+                assert times.get(frozenset((i + 1, j + 1)), 0) >= wanted or any({i + 1, j + 1} <= run for run in runs.values())
+
+
 def test_components_of_paths_and_hubs(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1001 + i) for i in range(50)] + [(7, 7)]
     out = ngram_join.components(spark.createDataFrame(edges, "u long, v long"))

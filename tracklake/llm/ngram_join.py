@@ -5,19 +5,21 @@ The join is exact over 64-bit shingle hashes, in these steps.
 1. Every document becomes its set: size and a 128-bit sum of the members. Equal sets are one class from
    here on, whatever their number.
 2. Prefix filter. With members in one global order (rare before frequent), two sets that are 0.8 alike
-   share one of the first size - ceil(0.8 * size) + 1 members of each. Members found often within
+   share `needed` of the first size - ceil(0.8 * size) + needed members of each, where `needed` grows with the size: two
+   texts with one line in common share a few members, near copies many. Members found often within
    partitions are ordered last; the order is only a matter of speed. Each map task sends one copy of each
    class, packed by bucket of the member, so a class of any number of copies costs a row per task.
-3. Classes that share a prefix member form a posting; those of a posting whose sizes allow a link are
-   tied together, and the connected components of all ties are independent pieces of work. A component is cut
-   into size-banded tiles: a band holds sizes within a factor 1.25, so links join classes of one band or of
-   neighbouring bands. Large tiles are cut into blocks, and each pair of blocks is a task's work, whatever
-   the size of the component.
-4. A first pass over the tiles has only hashed parity bitmaps, a bit for a member: the number of bits in which
-   two bitmaps differ bounds the overlap from above. The components of the pairs that pass are tiled
-   again, and a second pass, with the sorted arrays, intersects exactly what the bounds leave. Classes
-   already known to be connected within a tile are not compared again, so a group of n near copies takes
-   about n comparisons, and each pass gives the links of a spanning forest.
+3. Classes that share a prefix member form a posting, in runs of sizes that allow a link. Runs of up to LARGE_POSTING
+   classes give their pairs, less those that the sizes and the places in both prefixes rule out. A pair that was given as
+   often as it needs, and whose hashed parity bitmaps (a bit for a member: the number of bits in which two bitmaps differ
+   bounds the overlap from above) allow a link, is tied. A larger run is cut into size-banded tiles: a band holds sizes
+   within a factor 1.25, so links join classes of one band or of neighbouring bands. Large tiles are cut into blocks,
+   and each pair of blocks is a task's work; within a tile the bitmaps decide, and a spanning forest is tied.
+   A link that shares a member with a large run is found there, any other by its pairs; so no work is done for two classes
+   only because others connect them.
+4. The components of all ties are tiled in the same way, and a second pass, with the sorted arrays, intersects
+   exactly what the bounds leave. Classes already known to be connected within a tile are not compared again, so a
+   group of n near copies takes about n comparisons, and each pass gives the links of a spanning forest.
 5. The components of the exact links, with the smallest doc_id of each, are the result.
 """
 
@@ -38,6 +40,10 @@ SHINGLE_WORDS = 5
 NEED_PART, NEED_WHOLE = 80, 100
 #: Classes in a block of a large tile; a task holds two blocks.
 BLOCK_CLASSES = 4096
+#: Classes of a posting that are paired one by one; a larger posting is cut into tiles.
+LARGE_POSTING = 64
+#: A set needs one shared member more in its prefix for each so many members.
+MEMBERS_A_NEED = 32
 #: Members counted as frequent: seen this often in a partition, this often in all, and at most so many.
 FREQUENT_IN_TASK, FREQUENT_IN_ALL, FREQUENT_MOST = 3, 6, 200_000
 SENT_BYTES = 64 << 20
@@ -47,6 +53,9 @@ _SETS = "id long, n_shingles long, a long, b long"
 _SETS_ARROW = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 _COUNTS_ARROW = pa.schema([("member", pa.int64()), ("times", pa.int64())])
 _SENT_ARROW = pa.schema([("bucket", pa.int32()), ("postings", pa.binary())])
+#: A pair of classes (u of n, v of m members, no smaller) that a bucket gave `times` times; or, with 0 times, the class u of the large run v.
+_GIVEN = "u long, v long, times long, n long, m long"
+_GIVEN_ARROW = pa.schema([(c, pa.int64()) for c in ("u", "v", "times", "n", "m")])
 _EDGE_ARROW = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 _MEMBERS_ARROW = pa.schema([("node", pa.int64()), ("members", pa.binary())])
 
@@ -134,19 +143,24 @@ def prefix_length(n: np.ndarray) -> np.ndarray:
     return n - -(-NEED_PART * n // NEED_WHOLE) + 1
 
 
+def needed(n: np.ndarray) -> np.ndarray:
+    """How many members a set of n shares within the prefixes with any set that is no smaller and linked to it, at least."""
+    return 1 + n // MEMBERS_A_NEED
+
+
 def _prefixes(buckets: int, frequent: np.ndarray, rank: np.ndarray):
-    """Sends (member, node, size) of each set's prefix, packed by bucket."""
+    """Sends (member, node, size and place) of each set's prefix, packed by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def sent():
-            member, node, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            member, node, at = (np.concatenate(x) for x in zip(*held, strict=True))
             bucket = (mix(member) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             cuts = np.flatnonzero(np.diff(bucket[order])) + 1
             for own in np.split(order, cuts):
-                body = np.concatenate([member[own], node[own], n[own].astype(np.uint64)]).tobytes()
+                body = np.concatenate([member[own], node[own], at[own]]).tobytes()
                 yield batch(_SENT_ARROW, [int(bucket[own[0]])], [body])
 
         for node, members, at in _distinct_sets(batches):
@@ -160,8 +174,9 @@ def _prefixes(buckets: int, frequent: np.ndarray, rank: np.ndarray):
             row = np.repeat(np.arange(len(n)), n)
             # Members are sorted within a row, so the rare ones are in order of hash already; frequent ones go last.
             order = np.lexsort((members, place, row)) if place.any() else np.arange(len(members))
-            take = concat_ranges(at[:-1], prefix_length(n))
-            held.append((members[order[take]], node[row[take]], n[row[take]]))
+            take = concat_ranges(at[:-1], prefix_length(n) + needed(n) - 1)
+            row = row[take]
+            held.append((members[order[take]], node[row], (n[row] << 32 | take - at[row]).astype(np.uint64)))
             size += 24 * len(take)
             if size > SENT_BYTES:
                 yield from sent()
@@ -172,19 +187,44 @@ def _prefixes(buckets: int, frequent: np.ndarray, rank: np.ndarray):
     return run
 
 
-def _postings(table: pa.Table) -> pa.Table:
-    """One bucket: of the classes that hold one member, those whose sizes form a run of allowed steps, tied to its first."""
+def _postings(table: pa.Table, most: int) -> pa.Table:
+    """One bucket: of the classes that hold one member, in runs whose sizes form allowed steps, the pairs, or of more than `most` the run."""
     parts = [np.frombuffer(x, np.uint64).reshape(3, -1) for x in table["postings"].to_pylist()]
-    member, node, n = (np.concatenate([p[k] for p in parts]) for k in range(3))
-    order = np.lexsort((node, n, member))
-    member, node, n = member[order], node[order], n[order].astype(np.int64)
+    member, node, at = (np.concatenate([p[k] for p in parts]) for k in range(3))
+    order = np.lexsort((node, at >> np.uint64(32), member))
+    member, node, at = member[order], node[order], at[order]
+    once = np.ones(len(member), bool)
+    once[1:] = (member[1:] != member[:-1]) | (node[1:] != node[:-1])
+    member, node, n, place = member[once], node[once].view(np.int64), (at[once] >> np.uint64(32)).astype(np.int64), (at[once] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     new = np.ones(len(member), bool)
     new[1:] = (member[1:] != member[:-1]) | (NEED_PART * n[1:] > NEED_WHOLE * n[:-1])
     heads = np.flatnonzero(new)
-    leader = np.repeat(node[heads], np.diff(np.append(heads, len(node))))
-    other = node != leader
-    pairs = np.unique(np.stack([node[other], leader[other]]), axis=1) if other.any() else np.zeros((2, 0), np.uint64)
-    return pa.Table.from_arrays([pa.array(x.view(np.int64)) for x in np.ascontiguousarray(pairs)], schema=_EDGE_ARROW)
+    size = np.diff(np.append(heads, len(node)))
+    run, size = np.repeat(np.arange(len(heads)), size), np.repeat(size, size)
+    large = np.flatnonzero(size > most)
+    name = mix(member[heads] + n[heads].astype(np.uint64)).view(np.int64)
+    small = np.flatnonzero((size > 1) & (size <= most))
+    pairs, first = [np.zeros((2, 0), np.int64)], np.arange(len(small))
+    for step in range(1, most):
+        first = first[first + step < len(small)]
+        first = first[run[small[first]] == run[small[first + step]]]
+        if not len(first):
+            break
+        u, v = small[first], small[first + step]
+        both, left = n[u] + n[v], np.minimum(n[u] - place[u], n[v] - place[v]) - 1
+        # What is left behind this member, and as many as are needed up to it, must be enough for a link.
+        may = (NEED_PART * n[v] <= NEED_WHOLE * n[u]) & (NEED_PART * both <= (NEED_WHOLE + NEED_PART) * (needed(n[u]) + left))
+        pairs.append(np.stack([u[may], v[may]]))
+    u, v = np.concatenate(pairs, axis=1)
+    order = np.lexsort((node[v], node[u]))
+    u, v = u[order], v[order]
+    new = np.ones(len(u), bool)
+    new[1:] = (node[u[1:]] != node[u[:-1]]) | (node[v[1:]] != node[v[:-1]])
+    heads = np.flatnonzero(new)
+    times = np.diff(np.append(heads, len(u)))
+    u, v, none = u[heads], v[heads], np.zeros(len(large), np.int64)
+    columns = (node[u], node[large]), (node[v], name[run[large]]), (times, none), (n[u], n[large]), (n[v], none)
+    return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in columns], schema=_GIVEN_ARROW)
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -247,6 +287,26 @@ def _send_bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield batch(_MEMBERS_ARROW, node.view(np.int64), body)
 
 
+def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of pairs (u, v, n, m, bitmaps of both), with m no smaller than n, those (u, v) that the bound on the overlap allows."""
+    for b in batches:
+        n, m = b.column(2).to_numpy(), b.column(3).to_numpy()
+        few, many, may = _bits(n), _bits(m), np.zeros(len(n), bool)
+        for x, y in np.unique(np.stack([few, many]), axis=1).T.tolist():
+            own = np.flatnonzero((few == x) & (many == y))
+            one, other = (byte_array(c.take(pa.array(own)))[0].view(np.uint64).reshape(len(own), -1) for c in b.columns[4:])
+            if y > x:  # a doubling at most, as sizes allow a link
+                other = other[:, : x // 64] ^ other[:, x // 64 :]
+            differ = np.bitwise_count(one ^ other).sum(axis=1, dtype=np.int64)
+            may[own] = _enough(n[own] + m[own], differ)
+        yield b.select([0, 1]).filter(pa.array(may))
+
+
+def _enough(both: np.ndarray, differ: np.ndarray) -> np.ndarray:
+    """Whether sets of `both` members together may link: |x ^ y| is at least the number of differing parity bits."""
+    return (NEED_WHOLE + NEED_PART) * ((both - differ) // 2) >= NEED_PART * both
+
+
 class Tile:
     """The classes of a tile in order of size, with their bitmaps and, in the exact pass, their members."""
 
@@ -272,9 +332,7 @@ class Tile:
             at, own = self.level[int(self.bits[i]) // 2]
             half = mine[: len(mine) // 2] ^ mine[len(mine) // 2 :]
             differ[~same] = np.bitwise_count(own[rest[~same] - at] ^ half).sum(axis=1, dtype=np.int64)
-        # |x ^ y| is at least the number of differing parity bits, so this bounds the overlap from above.
-        both = self.n[rest] + self.n[i]
-        return rest[(NEED_WHOLE + NEED_PART) * ((both - differ) // 2) >= NEED_PART * both]
+        return rest[_enough(self.n[rest] + self.n[i], differ)]
 
     def links(self, cross: bool) -> Iterator[tuple[int, int]]:
         """A spanning forest of the links; if cross, only links between side 0 and side 1 are looked for."""
@@ -376,18 +434,29 @@ def near_groups(docs: DataFrame, key: str | None = None) -> DataFrame:
 
     buckets = BUCKETS_PER_PARTITION * partitions(spark)
     sent = rows.mapInArrow(_prefixes(buckets, frequent[order], often["times"].to_numpy()[order]), "bucket int, postings binary")
-    candidates = sent.groupBy("bucket").applyInArrow(_postings, "u long, v long")
-    pieces = components(candidates)
-    bitmaps = rows.mapInArrow(_send_bitmaps, "node long, members binary")
-    work = cut(classes.join(pieces, "node"))
-    discard(pieces)
-    alike = components(_links(work, bitmaps, exact=False))
-    discard(work)
+    most = LARGE_POSTING
+    given = cut(sent.groupBy("bucket").applyInArrow(lambda table: _postings(table, most), _GIVEN))
+    pairs = given.where("times > 0").groupBy("u", "v", "n", "m").agg(F.sum("times").alias("times"))
+    pairs = cut(pairs.where(F.col("times") >= 1 + F.floor(F.col("n") / MEMBERS_A_NEED)).select("u", "v", "n", "m"))
+    large = given.where("times = 0").select(F.col("u").alias("node"), "n", F.col("v").alias("root"))
+
+    def texts(nodes: DataFrame) -> DataFrame:
+        """A row or more of each class."""
+        least = classes.join(nodes, "node", "left_semi").select(F.col("least.row" if key else "least").alias(told)).distinct()
+        return rows.join(least, told, "left_semi").select("id", "text")
+
+    nodes = large.select("node").union(pairs.select("u")).union(pairs.select("v"))
+    bitmaps = cut(texts(nodes).mapInArrow(_send_bitmaps, "node long, members binary"))
+    near = pairs.join(bitmaps.select(F.col("node").alias("u"), F.col("members").alias("one")), "u")
+    near = near.join(bitmaps.select(F.col("node").alias("v"), F.col("members").alias("other")), "v")
+    near = near.select("u", "v", "n", "m", "one", "other").mapInArrow(_may_link, "u long, v long")
+    alike = components(near.union(_links(large, bitmaps, exact=False)))
+    for table in (given, pairs, bitmaps):
+        discard(table)
 
     work = cut(classes.join(alike, "node"))
     discard(alike)
-    wanted = work.select(F.col("least.row" if key else "least").alias(told)).distinct()
-    members = rows.join(wanted, told, "left_semi").select("id", "text").mapInArrow(_members, "node long, members binary")
+    members = texts(work).mapInArrow(_members, "node long, members binary")
     links = _links(work, members, exact=True)
 
     joined = components(links)
