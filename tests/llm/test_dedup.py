@@ -99,7 +99,7 @@ def test_near_compares_nothing_along_a_chain(spark, monkeypatch):
 
 
 @settings(max_examples=40, deadline=None)
-@given(st.integers(1, 600), st.floats(0.8, 1.0), st.integers(0, 99), st.sampled_from([1, 3, 64]))
+@given(st.integers(1, 600), st.floats(0.8, 1.0), st.integers(0, 99), st.sampled_from([1, 3, 16, 64]))
 def test_postings_give_every_link(n, share, seed, most):
     """Sets that link are given as often as they need to be, or lie in one large run."""
     rng = np.random.default_rng(seed)

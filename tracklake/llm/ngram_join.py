@@ -41,11 +41,11 @@ NEED_PART, NEED_WHOLE = 80, 100
 #: Classes in a block of a large tile; a task holds two blocks.
 BLOCK_CLASSES = 4096
 #: Classes of a posting that are paired one by one; a larger posting is cut into tiles.
-LARGE_POSTING = 64
+LARGE_POSTING = 16
 #: A set needs one shared member more in its prefix for each so many members.
 MEMBERS_A_NEED = 32
 #: Members counted as frequent: seen this often in a partition, this often in all, and at most so many.
-FREQUENT_IN_TASK, FREQUENT_IN_ALL, FREQUENT_MOST = 3, 6, 200_000
+FREQUENT_IN_TASK, FREQUENT_IN_ALL, FREQUENT_MOST = 2, 6, 200_000
 SENT_BYTES = 64 << 20
 BUCKETS_PER_PARTITION = 4
 
