@@ -105,6 +105,54 @@ def test_merging_by_list_and_by_heap(library, monkeypatch, heaped):
             assert merger.merge(word) == library[WORD].encode(word, add_special_tokens=False).ids
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="etaoinshr", min_size=1, max_size=52) | st.text(alphabet="aéä漢😀Ġ1-'", min_size=1, max_size=9), max_size=40), st.sampled_from([1, 3, 1 << 16]))
+def test_merging_many_words_together(library, words, rows):
+    """Every word gets the ids that it gets alone, whatever its width and the rows of a table."""
+    merger = word_codec.Merger(WORD)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(word_codec, "TABLE_ROWS", rows)
+        flat, counts = merger.merge_all(words)
+    alone = [merger.merge(w) for w in words]
+    assert [p.tolist() for p in np.split(flat, np.cumsum(counts))][:-1] == alone
+    assert list(merger.tell(flat, counts)) == [("".join(f"{i} " for i in ids), library[WORD].decode(ids, skip_special_tokens=False) + " ") for ids in alone]
+
+
+def test_new_words_are_not_merged_one_by_one(library, monkeypatch):
+    """Words outside the lexicon are merged in tables; only very long ones alone."""
+    codec = word_codec.Codec(word_codec.compile_lexicon({}), WORD)
+    alone = []
+    monkeypatch.setattr(codec.merger, "merge", lambda w, f=codec.merger.merge: alone.append(w) or f(w))
+    text = " ".join(f"word{k} Éa{'x' * (k % 40)}, tést&&&" for k in range(200)) + " " + "y" * 60
+    n, ids, decoded = next(codec.encode([text]))
+    want = library[WORD].encode(text, add_special_tokens=False).ids
+    assert (n, ids, decoded) == (len(want), " ".join(map(str, want)), library[WORD].decode(want, skip_special_tokens=False))
+    assert alone == ["y" * 60]
+
+
+def test_counted_words():
+    """Segments that are split together give the counts that each gives alone."""
+    from collections import Counter
+
+    import pyarrow as pa
+
+    texts = [*ODD, *WIDE, None, "", "the the, The it's ΟΔΥΣΣΕΥΣ \u0301a \u0301a e\u0301 once"] * 2
+    want, merger = Counter(), word_codec.Merger(WORD)
+    for t in texts:
+        for s in word_codec.segments(t) if t else ():
+            want.update(merger.split(s))
+    found = list(word_codec._count(WORD)(iter([pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])])))
+    assert {r["word"]: r["times"] for b in found for r in b.to_pylist()} == want
+
+
+def test_ranks_of_pairs():
+    table = {a << 20 | b: a * 7 + b for a in range(60) for b in range(0, 60, 3)}
+    ranks = word_codec.Ranks(table)
+    left, right = np.repeat(np.arange(70), 70), np.tile(np.arange(70), 70)
+    assert ranks.of(left, right).tolist() == [table.get(a << 20 | b, word_codec._UNRANKED) for a, b in zip(left.tolist(), right.tolist(), strict=True)]
+    assert (word_codec.Ranks({}).of(left, right) == word_codec._UNRANKED).all()
+
+
 def test_a_very_long_word(library):
     """200,000 letters without white space, in time that hardly grows faster than the word."""
     rng = random.Random(1)

@@ -4,7 +4,7 @@ The frequent words of the corpus are compiled, with their ids as outputs, into a
 words share prefixes and suffixes, and each arc knows how many words it skips, so the path of a word adds
 up to its number, which points to its ids. The automaton is a few flat arrays in one file in the shared folder,
 which Spark brings to every executor once and each worker maps into memory, read-only. Words that are not in it
-are merged exactly, pair by pair in order of rank.
+are merged exactly, pair by pair in order of rank, many words at a time.
 
 No token spans white space, so a text is a row of segments between white space, and a segment is worked out
 once for a worker's memory of segments. Segments are normalised and split into words as the vocabulary file
@@ -14,7 +14,9 @@ Unicode version to another, is left to the library; the rest of its text is not.
 
 from __future__ import annotations
 
+import contextlib
 import functools
+import gc
 import hashlib
 import heapq
 import itertools
@@ -24,8 +26,9 @@ import re
 import sys
 import unicodedata
 import uuid
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from operator import itemgetter, not_
 
 import numpy as np
 import public_tokenizers
@@ -35,7 +38,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch, has_columns, shared_dir, text_slices
+from .common import batch, concat_ranges, has_columns, shared_dir, text_slices
 from .vocab import library
 
 #: Words in the lexicon; bounds what is sent to each worker.
@@ -47,8 +50,16 @@ COUNTED_SEGMENTS = 300_000
 CACHED_SEGMENTS, CACHED_CHARS = 400_000, 8_000_000
 #: Pieces of a word above which the next pair is found by a heap; the result is the same.
 HEAPED = 48
+#: Words of up to 48 bytes are merged together: those of up to each of these widths are rows of a table, so many at a time.
+WIDTHS = (2, 4, 6, 8, 10, 12, 16, 24, 48)
+TABLE_ROWS = 65_536
 END = "</w>"
 _NONE = 1 << 62
+#: In tables of words: what stands behind the end of a word, and the rank of a pair that is never merged.
+_PAD, _UNRANKED = 0xFFFFF, np.iinfo(np.int32).max
+#: Stands between words that are told together; no word and no token holds it.
+_BREAK = "\n"
+_FIRST, _SECOND = itemgetter(0), itemgetter(1)
 
 _COUNTS_ARROW = pa.schema([("word", pa.string()), ("times", pa.int64())])
 _RESULT_ARROW = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
@@ -67,7 +78,7 @@ def _sure_characters() -> str:
     return "".join(f"\\U{c[0]:08x}-\\U{c[-1]:08x}" for c in spans)
 
 
-_SURE = re.compile(f"[{_sure_characters()}]*")
+_DOUBTFUL = re.compile(f"[^{_sure_characters()}]")
 
 
 @functools.cache
@@ -79,6 +90,28 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in visible else chr(next(rest)) for b in range(256)]
 
 
+@contextlib.contextmanager
+def _without_gc():
+    """No search for cycles meanwhile: many tuples are made, and none is in a cycle."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
+def _normal(text: str) -> str:
+    # A tokenizer lower-cases each character for itself: no sigma is final.
+    return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+
+
+def _by_break(found: list[tuple[str, str]]) -> Iterator[tuple[str, str]]:
+    """Joins the firsts, and the seconds, of all that stand before each break."""
+    return zip(*("".join(map(side, found)).split(_BREAK)[:-1] for side in (_FIRST, _SECOND)), strict=True)
+
+
 def segments(text: str) -> list[str]:
     """What stands between white space."""
     if any(c in text for c in _NO_SPACE):
@@ -86,6 +119,37 @@ def segments(text: str) -> list[str]:
     return text.split()
 
 
+class Ranks:
+    """Ranks of pairs of ids. A pair stands in one of two places that its hashes name, so many are looked up without a search."""
+
+    FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+
+    def __init__(self, ranks: dict[int, int]):
+        bits = max(4, (2 * len(ranks)).bit_length())
+        while not self._place(ranks, bits):
+            bits += 1
+
+    def _place(self, ranks: dict[int, int], bits: int) -> bool:
+        self.shift = np.uint64(64 - bits)
+        self.keys, self.ranks = np.full((2, 1 << bits), -1, np.int64), np.full((2, 1 << bits), _UNRANKED, np.int32)
+        for key, rank in ranks.items():
+            for side in itertools.islice(itertools.cycle((0, 1)), 200):
+                at = (key * self.FACTORS[side] & (1 << 64) - 1) >> 64 - bits
+                pushed = int(self.keys[side, at]), int(self.ranks[side, at])
+                self.keys[side, at], self.ranks[side, at] = key, rank
+                key, rank = pushed  # goes to its other place
+                if key < 0:
+                    break
+            else:
+                return False
+        return True
+
+    def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = left.astype(np.int64) << 20 | right
+        a, b = ((keys.view(np.uint64) * np.uint64(f) >> self.shift).view(np.int64) for f in self.FACTORS)
+        return np.where(self.keys[0][a] == keys, self.ranks[0][a], np.where(self.keys[1][b] == keys, self.ranks[1][b], _UNRANKED))
+
+
 @functools.cache
 class Merger:
     """Splits segments into normalised words and merges a word's letters exactly."""
@@ -101,20 +165,37 @@ class Merger:
         self.last = [self.ids[x + END] for x in byte_letters()]
         #: The merge of each two bytes inside a word.
         self.first = [self.pair.get(a << 20 | b, _NONE) for a in self.letter for b in self.letter]
-        self.words = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+        pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.words, self.words_and_breaks = regex.compile(pattern).findall, regex.compile(f"{pattern}|{_BREAK}").findall
         self.tokens = {i: t for t, i in self.ids.items()}
         added = library(path).get_added_tokens_decoder()
         self.tokens |= {i: t.content for i, t in added.items()}
+        #: For merging in tables: the rank of each pair, what each rank makes, and the rank of each two bytes inside a word.
+        self._rank = Ranks({pair: m >> 20 for pair, m in self.pair.items()}).of
+        self._made = np.zeros(len(merges), np.int32)
+        for m in self.pair.values():
+            self._made[m >> 20] = m & 0xFFFFF
+        self._letter, self._last = np.array(self.letter, np.int32), np.array(self.last, np.int32)
+        self._first = self._rank(np.repeat(self._letter, 256), np.tile(self._letter, 256))
+        #: Each id and its token, with a space behind; the last stands for the end of a word.
+        self.names = [(f"{i} ", self.tokens.get(i, "") + " ") for i in range(max(self.tokens) + 1)] + [(_BREAK, _BREAK)]
         self.special = re.compile("|".join(re.escape(t.content) for t in added.values()) or "(?!)").search
 
     def plain(self, segment: str) -> bool:
-        return (segment.isascii() and segment.isprintable() or _SURE.fullmatch(segment) is not None) and self.special(segment) is None
+        return (segment.isascii() and segment.isprintable() or _DOUBTFUL.search(segment) is None) and self.special(segment) is None
+
+    def all_plain(self, segments: list[str]) -> list[str]:
+        """Those that are plain; one look at all of them tells, where all are."""
+        return segments if self.plain("\n".join(segments)) else [s for s in segments if self.plain(s)]
 
     def split(self, segment: str) -> list[str]:
-        # A tokenizer lower-cases each character for itself: no sigma is final.
         if segment.isascii():
             return [segment.lower()] if segment.isalpha() else self.words(segment.lower())
-        return self.words(unicodedata.normalize("NFC", segment).replace("Σ", "σ").lower())
+        return self.words(_normal(segment))
+
+    def split_all(self, segments: list[str]) -> list[str]:
+        """The words of all segments, a break behind those of each."""
+        return self.words_and_breaks(_normal("".join([s + _BREAK for s in segments])))
 
     def merge(self, word: str) -> list[int]:
         """The ids of a word: again and again its earliest pair is merged, the first of equals in front."""
@@ -157,9 +238,68 @@ class Merger:
                     heapq.heappush(heap, (m, a))
         return [p for p in parts if p >= 0]
 
-    def decode(self, ids: list[int]) -> str:
-        """As a tokenizer without a decoder does: tokens joined by a space."""
-        return " ".join([self.tokens[i] for i in ids])
+    def merge_all(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of many words, one word after the other, and how many each has."""
+        raw = [w.encode() for w in words]
+        n = np.array([len(w) for w in raw], np.int64)
+        data = np.frombuffer(b"".join(raw) + bytes(WIDTHS[-1]), np.uint8)
+        at = np.cumsum(n) - n
+        done = []
+        for below, width in itertools.pairwise((0, *WIDTHS)):
+            found = np.flatnonzero((n > below) & (n <= width))
+            for rows in (found[k : k + TABLE_ROWS] for k in range(0, len(found), TABLE_ROWS)):
+                done.extend(self._merge_rows(rows, data[at[rows][:, None] + np.arange(width)], n[rows]))
+        for row in np.flatnonzero(n > WIDTHS[-1]).tolist():
+            done.append((np.array([row]), np.array([self.merge(words[row])], np.int32)))
+        counts = np.zeros(len(words), np.int64)
+        for rows, parts in done:
+            counts[rows] = (parts != _PAD).sum(1)
+        begin = np.cumsum(counts) - counts
+        flat = np.zeros(int(counts.sum()), np.int32)
+        for rows, parts in done:
+            flat[concat_ranges(begin[rows], counts[rows])] = parts[parts != _PAD]
+        return flat, counts
+
+    def _merge_rows(self, rows: np.ndarray, raw: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Merges words that are rows of a table of bytes, of which the first n count; (rows, their pieces) as they are done.
+
+        Each round merges the earliest pair of every row, the first of equals in front, so all rows that are left
+        lose one column.
+        """
+        own, width = np.arange(len(rows)), raw.shape[1]
+        parts = np.where(np.arange(width) < n[:, None], self._letter[raw], _PAD).astype(np.int32)
+        parts[own, n - 1] = self._last[raw[own, n - 1]]
+        pairs = self._first[raw[:, :-1].astype(np.int64) << 8 | raw[:, 1:]]
+        pairs[np.arange(1, width) >= n[:, None]] = _UNRANKED
+        ended = np.flatnonzero(n > 1)
+        pairs[ended, n[ended] - 2] = self._rank(parts[ended, n[ended] - 2], parts[ended, n[ended] - 1])
+        while width > 1:
+            place = pairs.argmin(1)
+            least = pairs[own, place]
+            live = least != _UNRANKED
+            if not live.all():
+                yield rows[~live], parts[~live]
+                rows, parts, pairs, place, least = rows[live], parts[live], pairs[live], place[live], least[live]
+                own = np.arange(len(rows))
+            if not len(rows):
+                return
+            now = self._made[least]
+            parts[own, place] = now
+            stay = np.ones((len(rows), width), bool)
+            stay[own, place + 1] = False
+            parts = parts[stay].reshape(len(rows), width - 1)
+            stay = np.ones((len(rows), width - 1), bool)
+            stay[own, place] = False
+            pairs = pairs[stay].reshape(len(rows), width - 2)
+            width -= 1
+            behind, before = np.flatnonzero(place < width - 1), np.flatnonzero(place)
+            pairs[behind, place[behind]] = self._rank(now[behind], parts[behind, place[behind] + 1])
+            pairs[before, place[before] - 1] = self._rank(parts[before, place[before] - 1], now[before])
+        yield rows, parts
+
+    def tell(self, flat: np.ndarray, counts: np.ndarray) -> Iterator[tuple[str, str]]:
+        """Of words given as by `merge_all`: their ids, and the tokens that these decode to, each with a space behind."""
+        return _by_break(list(map(self.names.__getitem__, np.insert(flat, np.cumsum(counts), len(self.names) - 1).tolist())))
 
 
 def compile_lexicon(entries: dict[str, list[int]]) -> bytes:
@@ -249,6 +389,11 @@ class Lexicon:
     def ids(self, number: int) -> list[int]:
         return self.outputs[self.offsets[number] : self.offsets[number + 1]].tolist()
 
+    def all_ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of many words, one word after the other, and how many each has."""
+        counts = (self.offsets[numbers + 1] - self.offsets[numbers]).astype(np.int64)
+        return self.outputs[concat_ranges(self.offsets[numbers].astype(np.int64), counts)], counts
+
 
 class Codec:
     """Encodes and decodes texts: remembered segments, then the lexicon, then exact merging."""
@@ -258,65 +403,65 @@ class Codec:
         self.forget()
 
     def forget(self) -> None:
-        self.word_ids: dict[str, str] = {}
-        self.word_text: dict[str, str] = {}
-        self.ids: dict[str, str] = {}  # of segments: ids joined by a space
-        self.text: dict[str, str] = {}  # and what they decode to
-        self.blank: set[str] = set()
+        #: Of words and of segments: their ids, and the tokens that these decode to. Each id and each token has a space
+        #: behind, so that what is joined needs none between.
+        self.words: dict[str, tuple[str, str]] = {_BREAK: (_BREAK, _BREAK)}
+        self.ids: dict[str, tuple[str, str]] = {}
         self.chars = 0
-        self.before: tuple[dict[str, str], ...] = ({}, {}, {}, {})  # the memory of the time before, in the same order
+        self.before: tuple[dict[str, tuple[str, str]], ...] = ({}, {})  # the memory of the time before, in the same order
 
     def turn(self) -> None:
         """Forgets what has not been seen since the last turn; what comes often is never worked out again."""
-        before = self.word_ids, self.word_text, self.ids, self.text
+        before = self.words, self.ids
         self.forget()
         self.before = before
 
-    def _tell(self, ids: list[int]) -> tuple[str, str]:
-        return " ".join(map(str, ids)), self.merger.decode(ids)
+    @staticmethod
+    def _take_over(now: dict, old: dict, new: list[str]) -> list[str]:
+        """Brings what is in the old memory into the new one; the rest."""
+        if not old:
+            return new
+        found = list(map(old.get, new))
+        now.update(zip(itertools.compress(new, found), filter(None, found), strict=True))
+        return [s for s, known in zip(new, found, strict=True) if known is None]
+
+    def _learn_words(self, words: list[str]) -> None:
+        words = self._take_over(self.words, self.before[0], words)
+        if not words:
+            return
+        numbers = self.lexicon.numbers(words)
+        known = numbers >= 0
+        listed, merged = list(itertools.compress(words, known.tolist())), list(itertools.compress(words, (~known).tolist()))
+        self.words.update(zip(listed, self.merger.tell(*self.lexicon.all_ids(numbers[known])), strict=True))
+        self.words.update(zip(merged, self.merger.tell(*self.merger.merge_all(merged)), strict=True))
 
     def learn(self, new: list[str]) -> None:
         """Works out segments that are not known yet, or takes them over from the time before."""
-        old_word_ids, old_word_text, old_ids, old_text = self.before
-        for s in new:
-            self.chars += len(s)
-            if s in old_ids:
-                self.ids[s], self.text[s] = old_ids[s], old_text[s]
-                if not old_ids[s]:
-                    self.blank.add(s)
-        if old_ids:
-            new = [s for s in new if s not in old_ids]
-        split = {s: self.merger.split(s) for s in new if self.merger.plain(s)}
-        words = [w for w in dict.fromkeys(itertools.chain.from_iterable(split.values())) if w not in self.word_ids]
-        for w in words:
-            if w in old_word_ids:
-                self.word_ids[w], self.word_text[w] = old_word_ids[w], old_word_text[w]
-        words = [w for w in words if w not in self.word_ids]
-        for word, number in zip(words, self.lexicon.numbers(words).tolist() if words else [], strict=True):
-            self.word_ids[word], self.word_text[word] = self._tell(self.lexicon.ids(number) if number >= 0 else self.merger.merge(word))
-        for s in new:
-            if (own := split.get(s)) is not None:
-                if len(own) == 1:
-                    self.ids[s], self.text[s] = self.word_ids[own[0]], self.word_text[own[0]]
-                else:
-                    self.ids[s], self.text[s] = " ".join([self.word_ids[w] for w in own]), " ".join([self.word_text[w] for w in own])
-            else:
+        self.chars += sum(map(len, new))
+        new = self._take_over(self.ids, self.before[1], new)
+        sure = self.merger.all_plain(new)
+        letters = [s.isascii() and s.isalpha() for s in sure]
+        simple, others = list(itertools.compress(sure, letters)), list(itertools.compress(sure, map(not_, letters)))
+        single = list(itertools.chain.from_iterable(map(self.merger.split, simple)))  # one word each
+        words = self.merger.split_all(others)
+        self._learn_words(list({*single, *words}.difference(self.words)))
+        self.ids.update(zip(simple, map(self.words.__getitem__, single), strict=True))
+        self.ids.update(zip(others, _by_break(list(map(self.words.__getitem__, words))), strict=True))
+        for s in new if len(sure) < len(new) else ():
+            if s not in self.ids:
                 ids = self.exact.encode(s, add_special_tokens=False).ids
-                self.ids[s], self.text[s] = " ".join(map(str, ids)), self.exact.decode(ids, skip_special_tokens=False)
-            if not self.ids[s]:
-                self.blank.add(s)
+                self.ids[s] = "".join([f"{i} " for i in ids]), self.exact.decode(ids, skip_special_tokens=False) + " " if ids else ""
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[int, str, str]]:
         """(number of ids, ids joined by a space, decoded text) of each text."""
         split = [segments(t) if t else [] for t in texts]
         if len(self.ids) > CACHED_SEGMENTS // 2 or self.chars > CACHED_CHARS // 2:
             self.turn()
-        self.learn([s for s in dict.fromkeys(itertools.chain.from_iterable(split)) if s not in self.ids])
+        self.learn(list(set(itertools.chain.from_iterable(split)).difference(self.ids)))
         for own in split:
-            if self.blank:
-                own = [s for s in own if s not in self.blank]
-            ids = " ".join(map(self.ids.__getitem__, own))
-            yield ids.count(" ") + 1 if ids else 0, ids, " ".join(map(self.text.__getitem__, own))
+            found = list(map(self.ids.__getitem__, own))
+            ids = "".join(map(_FIRST, found))
+            yield ids.count(" "), ids[:-1], "".join(map(_SECOND, found))[:-1]
 
 
 def _count(path: str):
@@ -324,11 +469,17 @@ def _count(path: str):
         merger, counted = Merger(path), Counter()
 
         def told():
-            words = Counter()
+            words, equal = Counter(), defaultdict(list)
             for segment, times in counted.items():
-                for word in merger.split(segment):
-                    words[word] += times
+                equal[times].append(segment)
             counted.clear()
+            for times, own in equal.items():  # no word spans white space, so segments are split together
+                found = merger.words(_normal(_BREAK.join(own)))
+                if times == 1:
+                    words.update(found)
+                else:
+                    for word in found:
+                        words[word] += times
             return batch(_COUNTS_ARROW, list(words), list(words.values()))
 
         for b in batches:
@@ -386,7 +537,8 @@ def encode(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
         for b in batches:
             for a, z in text_slices(b.column(1)):
                 part = b.slice(a, z - a)
-                found = [(n, sha(ids), sha(text)) for n, ids, text in codec.encode(part.column(1).to_pylist())]
+                with _without_gc():
+                    found = [(n, sha(ids), sha(text)) for n, ids, text in codec.encode(part.column(1).to_pylist())]
                 yield batch(_RESULT_ARROW, part.column(0), *zip(*found, strict=True))
 
     rows = docs.selectExpr("cast(doc_id as long) as doc_id", "text")
