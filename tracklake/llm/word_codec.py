@@ -457,7 +457,7 @@ class Codec:
         split = [segments(t) if t else [] for t in texts]
         if len(self.ids) > CACHED_SEGMENTS // 2 or self.chars > CACHED_CHARS // 2:
             self.turn()
-        self.learn(list(set(itertools.chain.from_iterable(split)).difference(self.ids)))
+        self.learn(list(itertools.filterfalse(self.ids.__contains__, dict.fromkeys(itertools.chain.from_iterable(split)))))
         for own in split:
             found = list(map(self.ids.__getitem__, own))
             ids = "".join(map(_FIRST, found))
